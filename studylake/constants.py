@@ -76,6 +76,8 @@ YEAR_P, MONTH_P, DAY_P, HOUR_P = "year_p_col", "month_p_col", "day_p_col", "hour
 STUDY_P, SUBJECT_P = "study_type_p_col", "subject_id_p_col"
 
 REFINE_PARTITIONS = [TYPE_P, YEAR_P, MONTH_P, DAY_P, HOUR_P]
+# Last folder level of incrementally loaded zones: "<stream query id>-<micro-batch id>".
+LOAD_BATCH = "load_batch"
 CONFORM_PARTITIONS = [STUDY_P, SUBJECT_P, TYPE_P, YEAR_P, MONTH_P, DAY_P]
 
 # The business key of an hourly sensor group (A-2 / J-11).

@@ -27,7 +27,8 @@ class ZonePaths:
     conform: str
 
 
-def refine_and_conform(spark: SparkSession, raw: DataFrame, zones: ZonePaths) -> tuple[DataFrame, DataFrame]:
+def refine_and_conform(spark: SparkSession, raw: DataFrame, zones: ZonePaths,
+                       batch_tag: str | None = None) -> tuple[DataFrame, DataFrame]:
     """M-1: normalise a raw batch once and write refine and conform from it.
 
     Returns (accepted refine rows, row-level rejects of this stage), both
@@ -37,8 +38,8 @@ def refine_and_conform(spark: SparkSession, raw: DataFrame, zones: ZonePaths) ->
     """
     n = normalise(raw).persist(StorageLevel.MEMORY_AND_DISK)
     acc = accepted(n)
-    write_refine(acc, zones.refine)
-    write_conform(acc, zones.conform)
+    write_refine(acc, zones.refine, batch_tag)
+    write_conform(acc, zones.conform, batch_tag)
     return acc, reject_rows(rejected(n), "refine")
 
 
@@ -72,11 +73,16 @@ def load_facts(spark: SparkSession, delta: DataFrame, history: DataFrame | None,
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, zones: ZonePaths, dims: Dims, root: str,
-              append_only: bool = False) -> dict[str, DataFrame] | None:
-    """M-1 then M-3 for one raw batch; an empty batch writes nothing (S-5)."""
+              append_only: bool = False, batch_tag: str | None = None) -> dict[str, DataFrame] | None:
+    """M-1 then M-3 for one raw batch; an empty batch writes nothing (S-5).
+
+    ``batch_tag`` (incremental loads) makes the zone writes replay-safe; see
+    :func:`studylake.sinks.zones.write_refine`.  A zone is written either with
+    tags (incremental) or without (batch appends), not both.
+    """
     if raw.isEmpty():
         return None
-    acc, refine_rejects = refine_and_conform(spark, raw, zones)
+    acc, refine_rejects = refine_and_conform(spark, raw, zones, batch_tag)
     try:
         history = read_refine(spark, zones.refine)
         return load_facts(spark, acc, history, dims, root, refine_rejects, append_only)

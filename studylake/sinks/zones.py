@@ -22,16 +22,27 @@ def _rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def write_refine(refine: DataFrame, path: str, mode: str = "append") -> None:
-    """Append refine rows under type/year/month/day/hour folders (K-1)."""
-    out = schemas.conform_to(refine, schemas.REFINE)
-    _rebalanced(out, C.REFINE_PARTITIONS).write.mode(mode).partitionBy(*C.REFINE_PARTITIONS).parquet(path)
-
-
-def write_conform(refine: DataFrame, path: str, mode: str = "append") -> None:
-    """Append conform rows under study/subject/type/year/month/day folders (K-2)."""
-    out = schemas.conform_to(conform_partitions(refine), schemas.CONFORM)
-    _rebalanced(out, C.CONFORM_PARTITIONS).write.mode(mode).partitionBy(*C.CONFORM_PARTITIONS).parquet(path)
+def _write_zone(df: DataFrame, path: str, partitions: list[str], batch_tag: str | None) -> None:
+    """Append, or with ``batch_tag`` write into a last ``load_batch=<tag>`` folder level with
+    dynamic partition overwrite: a replayed micro-batch then replaces its own files instead of
+    adding them twice (exactly-once zones under retries)."""
+    if batch_tag is None:
+        _rebalanced(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
+        return
+    parts = partitions + [C.LOAD_BATCH]
+    tagged = df.withColumn(C.LOAD_BATCH, F.lit(str(batch_tag)))
+    (_rebalanced(tagged, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
+
+
+def write_refine(refine: DataFrame, path: str, batch_tag: str | None = None) -> None:
+    """Refine rows under type/year/month/day/hour folders (K-1)."""
+    _write_zone(schemas.conform_to(refine, schemas.REFINE), path, C.REFINE_PARTITIONS, batch_tag)
+
+
+def write_conform(refine: DataFrame, path: str, batch_tag: str | None = None) -> None:
+    """Conform rows under study/subject/type/year/month/day folders (K-2)."""
+    _write_zone(schemas.conform_to(conform_partitions(refine), schemas.CONFORM), path, C.CONFORM_PARTITIONS, batch_tag)
 
 
 def write_per_type(typed: DataFrame, path: str, mode: str = "append") -> None:

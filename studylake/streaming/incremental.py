@@ -14,6 +14,8 @@ hourly fact is an upsert and the reject tables are overwritten.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from studylake.dims import Dims
@@ -26,8 +28,13 @@ def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: D
                     checkpoint: str, max_files_per_trigger: int | None = None, timeout_s: float | None = None) -> None:
     """Load every raw file not yet loaded, then stop (one ``availableNow`` run)."""
 
+    fallback = uuid.uuid4().hex
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run_batch(batch.sparkSession, batch, zones, dims, root)
+        # The stream's id is kept in its checkpoint, so a replayed micro-batch gets the same tag
+        # and overwrites its own zone folders; a new checkpoint gets new tags.
+        qid = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or fallback
+        run_batch(batch.sparkSession, batch, zones, dims, root, batch_tag=f"{qid}-{batch_id}")
 
     q = (stream_raw(spark, raw_dir, max_files_per_trigger).writeStream
          .foreachBatch(handle)
