@@ -48,7 +48,8 @@ def batch_hours(delta: DataFrame, dims: Dims) -> DataFrame:
     """Calendar hours the batch touches, as refine partition values (bounded by the calendar)."""
     cal = dims.d_datetime.select(F.col("year").alias(C.YEAR_P), F.col("month").alias(C.MONTH_P),
                                  F.col("date").alias(C.DAY_P), F.col("hour").alias(C.HOUR_P))
-    return cal.join(delta.select(*HOUR_COLS), HOUR_COLS, "left_semi").distinct()
+    # distinct() first: partial aggregation cuts the batch to its hours before any exchange.
+    return cal.join(delta.select(*HOUR_COLS).distinct(), HOUR_COLS, "left_semi").distinct()
 
 
 def affected_hours(delta: DataFrame, history: DataFrame | None, dims: Dims | None = None) -> DataFrame:
