@@ -10,7 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from studylake.dims import Dims
 from studylake.operators import facts
@@ -21,6 +22,10 @@ from studylake.sinks.zones import write_conform, write_refine
 from studylake.sources.zones import read_refine
 
 
+# Observed counts of the last refine_and_conform run: records, accepted, rejected.
+LAST_RUN_METRICS: dict[str, int] = {}
+
+
 @dataclass
 class ZonePaths:
     refine: str
@@ -36,10 +41,18 @@ def refine_and_conform(spark: SparkSession, raw: DataFrame, zones: ZonePaths,
     (MEMORY_AND_DISK): both writes read the persisted rows, so raw is scanned
     once per run; a lost block is recomputed from the raw files.
     """
-    n = normalise(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    n = normalise(raw)
+    # A-6: row counts of the run as observed metrics, collected by the first write (no extra job).
+    obs = Observation("refine")
+    n = n.observe(obs, F.count(F.lit(1)).alias("records"),
+                  F.count(F.when(F.col("reject_reason").isNull(), 1)).alias("accepted"),
+                  F.count(F.col("reject_reason")).alias("rejected"))
+    n = n.persist(StorageLevel.MEMORY_AND_DISK)
     acc = accepted(n)
     write_refine(acc, zones.refine, batch_tag)
     write_conform(acc, zones.conform, batch_tag)
+    LAST_RUN_METRICS.clear()
+    LAST_RUN_METRICS.update(obs.get)
     return acc, reject_rows(rejected(n), "refine")
 
 

@@ -60,9 +60,15 @@ def init_warehouse(spark: SparkSession, root: str, dims: Dims) -> dict[str, str]
     return paths
 
 
+MAX_BROADCAST_DAYS = 100_000  # 270 years of days; beyond it the day filter is a plain join
+
+
 def _batch_days(df: DataFrame) -> DataFrame:
-    # One row per calendar day in the batch: a few hundred rows per year of data.
-    return F.broadcast(df.select(FACT_PARTITION).distinct())
+    """The batch's distinct capture days, broadcast when a bounded count proves them few.
+    As the small side of a semi-join on the partition column it prunes the fact's folders
+    (dynamic partition pruning), so a batch reads only the days it touches."""
+    days = df.select(FACT_PARTITION).distinct()
+    return F.broadcast(days) if days.limit(MAX_BROADCAST_DAYS + 1).count() <= MAX_BROADCAST_DAYS else days
 
 
 def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool = True) -> None:

@@ -19,9 +19,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from studylake.dims import Dims
-from studylake.plans.jobs import ZonePaths, run_batch
+from studylake.plans.jobs import ZonePaths, load_facts, run_batch
 from studylake.sources.raw import stream_raw
-from studylake.sources.zones import stream_refine
+from studylake.sources.zones import read_refine, stream_refine
 
 
 def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: Dims, root: str,
@@ -49,3 +49,25 @@ def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: D
 def refine_stream(spark: SparkSession, refine_dir: str) -> DataFrame:
     """S-4: the refine zone as a stream of new files (for a separate facts job)."""
     return stream_refine(spark, refine_dir)
+
+
+def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root: str, checkpoint: str,
+                          timeout_s: float | None = None) -> None:
+    """M-3 on its own schedule: each run loads the facts from refine files written since the last
+    run (S-4, R-1); heart-rate hours are recomputed over the whole refine zone (R-3)."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # S-5
+            return
+        s = batch.sparkSession
+        delta = batch.persist()
+        try:
+            load_facts(s, delta, read_refine(s, refine_dir), dims, root)
+        finally:
+            delta.unpersist()
+
+    q = (refine_stream(spark, refine_dir).writeStream.foreachBatch(handle)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise q.exception()
