@@ -63,15 +63,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared folder (one per call)."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def parquet_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table (works on any Hadoop file system)."""
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception as e:  # AnalysisException: PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA
-        msg = str(e)
-        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
-            return False
-        raise

@@ -17,13 +17,14 @@ only reads and rewrites the days it touches:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from studylake import constants as C
 from studylake import schemas
 from studylake.dims import Dims
 from studylake.operators.facts import EVENT_KEY
-from studylake.session import parquet_exists, shared_dir
+from studylake.session import shared_dir
 
 FACT_PARTITION = "capture_date"
 
@@ -37,6 +38,19 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(table_path(root, name))
 
 
+def read_table_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The table with its declared schema (no inference, so an empty table reads as empty),
+    or None when the folder does not exist yet."""
+    try:
+        df = read_table(spark, root, name)
+        df.schema  # resolves the path
+        return df
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
 def read_dims(spark: SparkSession, root: str) -> Dims:
     return Dims(**{name: read_table(spark, root, name) for name in schemas.DIMENSIONS})
 
@@ -77,8 +91,9 @@ def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool =
     fact = schemas.conform_to(fact, schemas.F_INTENTIONAL)
     if dedup:
         fact = fact.dropDuplicates(EVENT_KEY)
-        if parquet_exists(spark, path):
-            old = read_table(spark, root, "f_intentional").join(_batch_days(fact), FACT_PARTITION, "left_semi")
+        existing = read_table_or_none(spark, root, "f_intentional")
+        if existing is not None:
+            old = existing.join(_batch_days(fact), FACT_PARTITION, "left_semi")
             o = old.select(*[F.col(c).alias(f"__o_{c}") for c in EVENT_KEY])
             cond = None
             for c in EVENT_KEY:
@@ -104,11 +119,12 @@ def merge_passive(new: DataFrame, old: DataFrame | None) -> DataFrame:
 def upsert_passive(spark: SparkSession, root: str, fact: DataFrame) -> None:
     """K-5: upsert the hourly fact; rewrites only the days present in ``fact``."""
     path = table_path(root, "f_passive")
-    if not parquet_exists(spark, path):
+    existing = read_table_or_none(spark, root, "f_passive")
+    if existing is None:
         _write_static(merge_passive(fact, None), path, FACT_PARTITION)
         return
     new = schemas.conform_to(fact, schemas.F_PASSIVE)
-    old = read_table(spark, root, "f_passive").join(_batch_days(new), FACT_PARTITION, "left_semi")
+    old = existing.join(_batch_days(new), FACT_PARTITION, "left_semi")
     shared_dir(spark)
     merged = merge_passive(new, old).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
