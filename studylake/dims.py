@@ -1,7 +1,11 @@
 """The star schema's dimensions as one bundle, with checked broadcast sides.
 
-A dimension is broadcast only after a bounded count has proven it holds at
-most ``max_broadcast_rows`` rows (one small job for all dimensions together).
+A dimension is broadcast only after a count has proven it holds at most
+``max_broadcast_rows`` rows.  The count is one job for all dimensions
+together: each dimension is scanned once and counted with map-side partial
+aggregation, so only one small row per partition and dimension is shuffled.
+(A ``limit(n + 1).count()`` would look cheaper but ships up to ``n`` rows per
+partition to a single task.)
 A dimension beyond the bound is joined without a hint: the planner uses a
 shuffle join, and adaptive execution may still switch to a broadcast at run
 time from measured sizes, or split a skewed key.
@@ -35,6 +39,7 @@ class Dims:
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     _bounded: dict = field(default_factory=dict, repr=False)
     _derived: dict = field(default_factory=dict, repr=False)
+    row_counts: dict = field(default_factory=dict, repr=False)
 
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(k, getattr(self, k)) for k in schemas.DIMENSIONS]
@@ -42,11 +47,11 @@ class Dims:
     def check_bounds(self) -> dict[str, bool]:
         """One job: which dimensions hold at most ``max_broadcast_rows`` rows."""
         if not self._bounded:
-            n = self.max_broadcast_rows
-            parts = [df.limit(n + 1).select(F.lit(name).alias("dim")) for name, df in self.items()]
+            parts = [df.select(F.lit(name).alias("dim")) for name, df in self.items()]
             counts = {r["dim"]: r["n"] for r in reduce(DataFrame.unionByName, parts)
                       .groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-            self._bounded = {name: counts.get(name, 0) <= n for name, _ in self.items()}
+            self.row_counts = {name: counts.get(name, 0) for name, _ in self.items()}
+            self._bounded = {name: n <= self.max_broadcast_rows for name, n in self.row_counts.items()}
         return self._bounded
 
     def side(self, name: str, df: DataFrame | None = None) -> DataFrame:

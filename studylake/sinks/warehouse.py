@@ -81,8 +81,8 @@ def _batch_days(df: DataFrame) -> DataFrame:
     """The batch's distinct capture days, broadcast when a bounded count proves them few.
     As the small side of a semi-join on the partition column it prunes the fact's folders
     (dynamic partition pruning), so a batch reads only the days it touches."""
-    days = df.select(FACT_PARTITION).distinct()
-    return F.broadcast(days) if days.limit(MAX_BROADCAST_DAYS + 1).count() <= MAX_BROADCAST_DAYS else days
+    days = df.select(FACT_PARTITION).distinct()  # partial aggregation: one row per day and partition
+    return F.broadcast(days) if days.count() <= MAX_BROADCAST_DAYS else days
 
 
 def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool = True) -> None:

@@ -25,8 +25,13 @@ from studylake.sources.zones import read_refine, stream_refine
 
 
 def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: Dims, root: str,
-                    checkpoint: str, max_files_per_trigger: int | None = None, timeout_s: float | None = None) -> None:
-    """Load every raw file not yet loaded, then stop (one ``availableNow`` run)."""
+                    checkpoint: str, max_files_per_trigger: int | None = None, timeout_s: float | None = None,
+                    processing_time: str | None = None):
+    """Load every raw file not yet loaded, then stop (one ``availableNow`` run).
+
+    With ``processing_time`` (e.g. ``"15 minutes"``) the query keeps running and
+    loads new drops on that schedule; the running query is returned.
+    """
 
     fallback = uuid.uuid4().hex
 
@@ -36,11 +41,12 @@ def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: D
         qid = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or fallback
         run_batch(batch.sparkSession, batch, zones, dims, root, batch_tag=f"{qid}-{batch_id}")
 
-    q = (stream_raw(spark, raw_dir, max_files_per_trigger).writeStream
+    w = (stream_raw(spark, raw_dir, max_files_per_trigger).writeStream
          .foreachBatch(handle)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
+         .option("checkpointLocation", checkpoint))
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
