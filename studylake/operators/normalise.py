@@ -58,7 +58,6 @@ def normalise(raw: DataFrame) -> DataFrame:
     reason = (F.when(F.col(C.CORRUPT).isNotNull(), F.lit(C.R_CORRUPT))
               .when(dt.isNull() | ~dt.isin(*C.ALL_TYPES), F.lit(C.R_UNKNOWN_TYPE))
               .when(event_time.isNull(), F.lit(C.R_BAD_TIMESTAMP)))
-    # The reason is computed from the raw frame's columns before projection.
     out = with_parts.withColumn(REJECT_REASON, reason)
     return out.select(*[f.name for f in schemas.REFINE.fields], REJECT_REASON, C.CORRUPT)
 

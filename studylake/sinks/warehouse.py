@@ -12,6 +12,9 @@ only reads and rewrites the days it touches:
   checkpointed into the session's shared checkpoint folder first, which cuts
   the lineage to the files being replaced;
 * the reject tables (K-6) are overwritten, also when empty.
+
+Fact writes carry a REBALANCE hint on ``capture_date``: adaptive execution
+sizes the files of each day folder and splits a hot day over several tasks.
 """
 
 from __future__ import annotations
@@ -56,7 +59,8 @@ def read_dims(spark: SparkSession, root: str) -> Dims:
 
 
 def _write_static(df: DataFrame, path: str, partition: str | None = None) -> None:
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = (df.hint("rebalance", partition) if partition else df).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static")
     (w.partitionBy(partition) if partition else w).parquet(path)
 
 
@@ -100,7 +104,7 @@ def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool =
                 e = F.col(c).eqNullSafe(F.col(f"__o_{c}"))
                 cond = e if cond is None else cond & e
             fact = fact.join(o, cond, "left_anti")
-    fact.write.mode("append").partitionBy(FACT_PARTITION).parquet(path)
+    fact.hint("rebalance", FACT_PARTITION).write.mode("append").partitionBy(FACT_PARTITION).parquet(path)
 
 
 def merge_passive(new: DataFrame, old: DataFrame | None) -> DataFrame:
@@ -127,7 +131,7 @@ def upsert_passive(spark: SparkSession, root: str, fact: DataFrame) -> None:
     old = existing.join(_batch_days(new), FACT_PARTITION, "left_semi")
     shared_dir(spark)
     merged = merge_passive(new, old).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.hint("rebalance", FACT_PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(FACT_PARTITION).parquet(path))
 
 
