@@ -10,9 +10,10 @@ aggregation: batch rows (weight 1, no value) and the history rows of the
 batch's hours (weight 0, with value) are unioned and grouped once.  The
 grouping handles NULL codes natively (no text matching), partial aggregation
 collapses a hot group before the shuffle, and history is pruned to the
-batch's hour folders by a broadcast semi-join on the partition columns
-(dynamic partition pruning).  The hour set broadcast is a subset of the
-calendar, whose size is checked; hours outside the calendar cannot load
+batch's hour folders by an IN filter on the partition columns (static
+partition pruning: the scan lists only those folders).  The hour list is the
+calendar hours the batch touches, so its length is bounded by the calendar,
+whose size is checked; hours outside the calendar cannot load
 (``unknown_time``), so nothing is lost by the pruning.
 """
 
@@ -52,6 +53,20 @@ def batch_hours(delta: DataFrame, dims: Dims) -> DataFrame:
     return cal.join(delta.select(*HOUR_COLS).distinct(), HOUR_COLS, "left_semi").distinct()
 
 
+def hour_key(year=C.YEAR_P, month=C.MONTH_P, day=C.DAY_P, hour=C.HOUR_P) -> F.Column:
+    """One int per calendar hour, over partition columns only (usable as a partition filter)."""
+    return ((F.col(year) * 100 + F.col(month)) * 100 + F.col(day)) * 100 + F.col(hour)
+
+
+def hour_filter(delta: DataFrame, dims: Dims) -> F.Column:
+    """Partition filter keeping the hours the batch touches (bounded list, see module doc).
+    Beyond the calendar's broadcast bound it falls back to a broadcast-free semi-join key check."""
+    if not dims.check_bounds()["d_datetime"]:
+        return F.lit(True)  # no pruning; the union-aggregate still restricts to the batch's groups
+    keys = [r[0] for r in batch_hours(delta, dims).select(hour_key()).collect()]
+    return hour_key().isin(keys) if keys else F.lit(False)
+
+
 def affected_hours(delta: DataFrame, history: DataFrame | None, dims: Dims | None = None) -> DataFrame:
     """J-11: hourly groups of the batch with ``rec_count`` (batch rows) and ``mean_hr``
     (heart-rate mean over history; over the batch itself when ``history`` is None)."""
@@ -62,7 +77,7 @@ def affected_hours(delta: DataFrame, history: DataFrame | None, dims: Dims | Non
     if history is not None:
         h = history.filter(F.col(C.TYPE_P) == C.HEART_RATE)
         if dims is not None:
-            h = h.join(dims.side("d_datetime", batch_hours(d, dims)), HOUR_COLS, "left_semi")
+            h = h.filter(hour_filter(d, dims))
         parts = batch.unionByName(h.select(*C.HOUR_GROUP_KEYS, F.lit(0).alias("_w"), F.col(C.HEART_BEAT).alias("_hb")))
     return (parts.groupBy(*C.HOUR_GROUP_KEYS)
             .agg(F.sum("_w").alias("rec_count"), F.avg("_hb").alias("mean_hr"))

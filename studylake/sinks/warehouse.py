@@ -78,15 +78,27 @@ def init_warehouse(spark: SparkSession, root: str, dims: Dims) -> dict[str, str]
     return paths
 
 
-MAX_BROADCAST_DAYS = 100_000  # 270 years of days; beyond it the day filter is a plain join
+MAX_PRUNE_DAYS = 100_000  # 270 years of days; beyond it the day filter is a plain semi-join
 
 
-def _batch_days(df: DataFrame) -> DataFrame:
-    """The batch's distinct capture days, broadcast when a bounded count proves them few.
-    As the small side of a semi-join on the partition column it prunes the fact's folders
-    (dynamic partition pruning), so a batch reads only the days it touches."""
-    days = df.select(FACT_PARTITION).distinct()  # partial aggregation: one row per day and partition
-    return F.broadcast(days) if days.count() <= MAX_BROADCAST_DAYS else days
+def _days_of(df: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows of ``existing`` on the capture days present in ``df``.
+
+    The batch's distinct days (partial aggregation first; a few hundred per
+    year of data, at most ``MAX_PRUNE_DAYS``) become an IN filter on the
+    partition column, so the scan lists only those day folders (static
+    partition pruning).  Dynamic pruning cannot be relied on here: the batch
+    is usually persisted, and the optimizer does not look through a cached
+    relation for a selective predicate.
+    """
+    days = [r[0] for r in df.select(FACT_PARTITION).distinct().limit(MAX_PRUNE_DAYS + 1).collect()]
+    if len(days) > MAX_PRUNE_DAYS:
+        return existing.join(df.select(FACT_PARTITION).distinct(), FACT_PARTITION, "left_semi")
+    known = [d for d in days if d is not None]
+    cond = F.col(FACT_PARTITION).isin(known) if known else F.lit(False)
+    if len(known) < len(days):
+        cond = cond | F.col(FACT_PARTITION).isNull()
+    return existing.filter(cond)
 
 
 def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool = True) -> None:
@@ -97,7 +109,7 @@ def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool =
         fact = fact.dropDuplicates(EVENT_KEY)
         existing = read_table_or_none(spark, root, "f_intentional")
         if existing is not None:
-            old = existing.join(_batch_days(fact), FACT_PARTITION, "left_semi")
+            old = _days_of(fact, existing)
             o = old.select(*[F.col(c).alias(f"__o_{c}") for c in EVENT_KEY])
             cond = None
             for c in EVENT_KEY:
@@ -128,7 +140,7 @@ def upsert_passive(spark: SparkSession, root: str, fact: DataFrame) -> None:
         _write_static(merge_passive(fact, None), path, FACT_PARTITION)
         return
     new = schemas.conform_to(fact, schemas.F_PASSIVE)
-    old = existing.join(_batch_days(new), FACT_PARTITION, "left_semi")
+    old = _days_of(new, existing)
     shared_dir(spark)
     merged = merge_passive(new, old).checkpoint(eager=True)
     (merged.hint("rebalance", FACT_PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

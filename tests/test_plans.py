@@ -31,10 +31,29 @@ def test_history_is_pruned_to_batch_hours(spark, tmp_dir):
     write_refine(ref, tmp_dir)
     hist = read_refine(spark, tmp_dir)
     delta = hist.filter(f"{C.DAY_P} >= 29")
-    out = affected_hours(delta, hist, adapter.study_dims(spark, SF0001))
+    out = affected_hours(delta.persist(), hist, adapter.study_dims(spark, SF0001))
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan.lower()
+    hist_scans = [line.split("PartitionFilters:")[1] for line in plan.split("\n")
+                  if "FileScan" in line and "= heart_rate" in line]
+    # The hour-key IN filter ((year * 100 + month) * 100 ...) is among the partition filters.
+    assert hist_scans and all("year_p_col" in f and "* 10" in f for f in hist_scans)
+
+
+def test_fact_reads_are_pruned_to_batch_days(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from studylake import schemas
+    from studylake.sinks import warehouse
+    df = spark.range(300).select(F.col("id").alias("eventid"),
+                                 F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int"))
+                                 .alias("capture_date"))
+    warehouse.append_events(spark, tmp_dir, schemas.conform_to(df, schemas.F_INTENTIONAL), dedup=False)
+    late = df.filter(F.dayofmonth("capture_date") >= 28).persist()
+    old = warehouse._days_of(late, warehouse.read_table(spark, tmp_dir, "f_intentional"))
+    assert old.count() == 30
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-28" in plan and "PartitionFilters" in plan
 
 
 @pytest.mark.parametrize("name", ["passive_fact", "event_fact", "affected_hours", "reject_summary", "allocate_site"])
