@@ -59,3 +59,26 @@ def test_fact_reads_are_pruned_to_batch_days(spark, tmp_dir):
 def test_no_python_in_plans(spark, name):
     plan = _plan(E.queries()[name](spark, SF0001))
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_jobs_per_load_do_not_grow_with_groups(spark, tmp_dir):
+    """Spark jobs of one fact load are the same for all hour groups and for a fifth of them."""
+    from pyspark.sql import functions as F
+
+    from studylake.operators.normalise import accepted, normalise
+    from studylake.plans.jobs import init_warehouse, load_facts
+    sc = spark.sparkContext
+    dims = adapter.study_dims(spark, SF0001)
+    dims.check_bounds()
+    ref = accepted(normalise(adapter.study_raw(spark, SF0001)))
+    counts, groups = [], []
+    for i, part in enumerate([ref, ref.filter(F.col(C.SUBJECT_ID).isin("S0", "S1", "S2"))]):
+        root = f"{tmp_dir}/wh{i}"
+        init_warehouse(spark, root, dims)
+        groups.append(part.select(*C.HOUR_GROUP_KEYS).distinct().count())
+        sc.setJobGroup(f"load{i}-{tmp_dir}", "fact load")
+        load_facts(spark, part, None, dims, root)
+        sc.setJobGroup("other", "other")
+        counts.append(len(sc.statusTracker().getJobIdsForGroup(f"load{i}-{tmp_dir}")))
+    assert groups[0] > 2 * groups[1]
+    assert counts[0] == counts[1]
