@@ -24,11 +24,18 @@ from studylake.sources.raw import stream_raw
 from studylake.sources.zones import read_refine, stream_refine
 
 
+DEFAULT_MAX_FILES_PER_TRIGGER = 5000
+
+
 def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: Dims, root: str,
-                    checkpoint: str, max_files_per_trigger: int | None = None, timeout_s: float | None = None,
-                    processing_time: str | None = None):
+                    checkpoint: str, max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                    timeout_s: float | None = None, processing_time: str | None = None):
     """Load every raw file not yet loaded, then stop (one ``availableNow`` run).
 
+    A backlog is split into micro-batches of at most ``max_files_per_trigger``
+    files (``availableNow`` honours the limit), so a year of hourly drops is
+    not persisted and loaded as one batch; every file is still loaded.
+
     With ``processing_time`` (e.g. ``"15 minutes"``) the query keeps running and
     loads new drops on that schedule; the running query is returned.
     """
