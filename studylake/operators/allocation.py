@@ -30,8 +30,8 @@ def disjoint_periods(allocation: DataFrame) -> DataFrame:
     a = allocation.filter(F.col("startdate").isNotNull()).select(
         *keys, "allocationid", "siteid", "startdate",
         F.coalesce(F.col("enddate"), F.lit(OPEN_END).cast("date")).alias("enddate"))
-    points = (a.select(*keys, F.col("startdate").alias("p"))
-              .unionByName(a.select(*keys, F.date_add("enddate", 1).alias("p")))
+    # Segment boundaries: every start and every day after an end (one pass over the periods).
+    points = (a.select(*keys, F.explode(F.array(F.col("startdate"), F.date_add("enddate", 1))).alias("p"))
               .filter(F.col("p").isNotNull()).distinct())
     w = Window.partitionBy(*keys).orderBy("p")
     segs = (points.withColumn("nxt", F.lead("p").over(w))
