@@ -83,3 +83,37 @@ def test_jobs_per_load_do_not_grow_with_groups(spark, tmp_dir):
         counts.append(len(sc.statusTracker().getJobIdsForGroup(f"load{i}-{tmp_dir}")))
     assert groups[0] > 2 * groups[1]
     assert counts[0] == counts[1]
+
+
+def test_unbounded_dimensions_fall_back_to_shuffle_joins(spark, tmp_dir):
+    """Over the broadcast bound, lookups and the allocation join are shuffle joins; same results."""
+    from pyspark.sql import functions as F
+
+    from studylake.sinks.zones import write_refine
+    ref = accepted(normalise(adapter.study_raw(spark, SF0001)))
+    write_refine(ref, tmp_dir)
+    hist = read_refine(spark, tmp_dir)
+    delta = hist.filter(F.col(C.DAY_P) >= 20)
+
+    def rows(df, cols):
+        return sorted(tuple(r) for r in df.select(*cols).collect())
+
+    pcols = list(C.PASSIVE_KEYS) + [F.round("agg_value", 6)]
+    ecols = ["evtypid", "studyid", "siteid", "subjectid", "deviceid", "mobileid", "value", "starttimestamp"]
+    small = adapter.study_dims(spark, SF0001)
+    want_p = rows(facts.passive_fact(facts.resolve_passive(delta, small, hist)), pcols)
+    want_e = rows(facts.event_fact(facts.resolve_events(delta, small)), ecols)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        big = adapter.study_dims(spark, SF0001)
+        big.max_broadcast_rows = 1
+        pv = facts.resolve_passive(delta, big, hist)
+        assert "SortMergeJoin" in _plan(pv) and "BroadcastHashJoin" not in _plan(pv)
+        assert rows(facts.passive_fact(pv), pcols) == want_p
+        assert rows(facts.event_fact(facts.resolve_events(delta, big)), ecols) == want_e
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
