@@ -268,11 +268,13 @@ def q_passive_upsert(spark, sf_dir):
     _, ref = _prep(spark, sf_dir)
     dims = _dims(spark, sf_dir)
     root = scratch_path(spark, "wh_upsert")
-    old = facts.passive_fact(facts.resolve_passive(ref.filter(F.col(C.DAY_P) <= 20), dims))
+    old = facts.passive_fact(facts.resolve_passive(ref.filter(F.col(C.DAY_P) <= 20), dims)).persist()
     changed = ref.filter(F.col(C.DAY_P) >= 15).withColumn(C.HEART_BEAT, F.col(C.HEART_BEAT) + 1.0)
-    new = facts.passive_fact(facts.resolve_passive(changed, dims))
+    new = facts.passive_fact(facts.resolve_passive(changed, dims)).persist()
     warehouse.upsert_passive(spark, root, old)
     warehouse.upsert_passive(spark, root, new)
+    old.unpersist()
+    new.unpersist()
     return _passive_out(warehouse.read_table(spark, root, "f_passive"))
 
 
@@ -280,9 +282,10 @@ def q_event_dedup(spark, sf_dir):
     _, ref = _prep(spark, sf_dir)
     dims = _dims(spark, sf_dir)
     root = scratch_path(spark, "wh_events")
-    fact = facts.event_fact(facts.resolve_events(ref, dims))
+    fact = facts.event_fact(facts.resolve_events(ref, dims)).persist()
     warehouse.append_events(spark, root, fact)
     warehouse.append_events(spark, root, fact)
+    fact.unpersist()
     return _event_out(warehouse.read_table(spark, root, "f_intentional"))
 
 
