@@ -60,6 +60,12 @@ class Dims:
         df = getattr(self, name) if df is None else df
         return F.broadcast(df) if self.check_bounds()[name] else df
 
+    def fresh(self) -> "Dims":
+        """The same dimension frames with bounds not yet checked (re-checked on first use).
+        A long-running stream takes a fresh copy per micro-batch, so a dimension that has grown
+        past the bound stops being broadcast."""
+        return Dims(**{name: df for name, df in self.items()}, max_broadcast_rows=self.max_broadcast_rows)
+
     def derived(self, key: str, build) -> DataFrame:
         """Memoise a frame derived from the dimensions (e.g. disjoint allocation periods)."""
         if key not in self._derived:

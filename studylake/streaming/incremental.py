@@ -46,7 +46,7 @@ def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: D
         # The stream's id is kept in its checkpoint, so a replayed micro-batch gets the same tag
         # and overwrites its own zone folders; a new checkpoint gets new tags.
         qid = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or fallback
-        run_batch(batch.sparkSession, batch, zones, dims, root, batch_tag=f"{qid}-{batch_id}")
+        run_batch(batch.sparkSession, batch, zones, dims.fresh(), root, batch_tag=f"{qid}-{batch_id}")
 
     w = (stream_raw(spark, raw_dir, max_files_per_trigger).writeStream
          .foreachBatch(handle)
@@ -75,7 +75,7 @@ def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root
         s = batch.sparkSession
         delta = batch.persist()
         try:
-            load_facts(s, delta, read_refine(s, refine_dir), dims, root)
+            load_facts(s, delta, read_refine(s, refine_dir), dims.fresh(), root)
         finally:
             delta.unpersist()
 
