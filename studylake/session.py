@@ -53,7 +53,13 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is.  Only when it is unset (local tests) a fresh folder is made and set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local SparkContext
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return d
     if not sc.getCheckpointDir():
         configured = sc.getConf().get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="studylake-ckpt-"))
