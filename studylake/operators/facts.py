@@ -35,12 +35,44 @@ def event_value() -> F.Column:
             .otherwise(F.lit(C.MEAL_EVENT_VALUE)))
 
 
+EVENT_DIMS = ["d_eventtype", "d_study", "d_subject", "d_device", "d_mobile", "d_allocation"]
+EVENT_CODES = [C.TYPE_P, C.STUDY_TYPE, C.SUBJECT_ID, C.WATCH_ID, C.PHONE_ID, "capture_date"]
+EVENT_IDS = ["evtypid", "studyid", "subjectid", "deviceid", "mobileid"]
+
+
+def _resolve_event_keys(ev: DataFrame, dims: Dims) -> DataFrame:
+    """Ids and site of each row, resolved once per distinct (codes, capture day) and joined back.
+
+    Used when a dimension is over the broadcast bound: the lookups then shuffle
+    the distinct combinations (partially aggregated, far fewer than events)
+    instead of every event row once per dimension, and the events are shuffled
+    at most once, for the join back (AQE may broadcast the combinations, and
+    splits a hot combination's partition).
+    """
+    keys = ev.select(*EVENT_CODES).distinct()
+    keys = allocate_site(resolve_codes(keys, dims, EVENT_IDS), dims, "capture_date")
+    k = keys.select(*[F.col(c).alias(f"__k_{c}") for c in EVENT_CODES], *EVENT_IDS, "siteid")
+    cond = None
+    for c in EVENT_CODES:
+        e = F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+        cond = e if cond is None else cond & e
+    return ev.join(k, cond, "left").drop(*[f"__k_{c}" for c in EVENT_CODES])
+
+
 def resolve_events(refine: DataFrame, dims: Dims) -> DataFrame:
-    """M-4 without the write: event rows with ids, site, value and a reject reason."""
+    """M-4 without the write: event rows with ids, site, value and a reject reason.
+
+    With every dimension under the broadcast bound, the lookups and the
+    allocation join are broadcast joins on the event rows (no shuffle);
+    otherwise see :func:`_resolve_event_keys`.
+    """
     ev = event_rows(schemas.conform_to(refine, schemas.REFINE))  # P-11: a missing severity is a typed NULL
     ev = ev.withColumn("value", event_value()).withColumn("capture_date", F.to_date(C.START_TIME))
-    ev = resolve_codes(ev, dims, ["evtypid", "studyid", "subjectid", "deviceid", "mobileid"])
-    ev = allocate_site(ev, dims, "capture_date")
+    bounded = dims.check_bounds()
+    if all(bounded[d] for d in EVENT_DIMS):
+        ev = allocate_site(resolve_codes(ev, dims, EVENT_IDS), dims, "capture_date")
+    else:
+        ev = _resolve_event_keys(ev, dims)
     reason = (F.when(F.col("siteid") == 0, F.lit(C.R_NO_ALLOCATION))
               .when(F.col("evtypid") == 0, F.lit(C.R_UNKNOWN_EVENT_TYPE))
               .when(F.col("value").isNull(), F.lit(C.R_BAD_SEVERITY)))
