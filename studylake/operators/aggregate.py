@@ -12,8 +12,8 @@ grouping handles NULL codes natively (no text matching), partial aggregation
 collapses a hot group before the shuffle, and history is pruned to the
 batch's hour folders by an IN filter on the partition columns (static
 partition pruning: the scan lists only those folders).  The hour list is the
-calendar hours the batch touches, so its length is bounded by the calendar,
-whose size is checked; hours outside the calendar cannot load
+calendar hours the batch touches, and its length is checked (at most
+``MAX_PRUNE_HOURS``) before it is used; hours outside the calendar cannot load
 (``unknown_time``), so nothing is lost by the pruning.
 """
 
@@ -58,12 +58,16 @@ def hour_key(year=C.YEAR_P, month=C.MONTH_P, day=C.DAY_P, hour=C.HOUR_P) -> F.Co
     return ((F.col(year) * 100 + F.col(month)) * 100 + F.col(day)) * 100 + F.col(hour)
 
 
+MAX_PRUNE_HOURS = 1_000_000  # 114 years of hours; beyond it history is not pruned (still correct)
+
+
 def hour_filter(delta: DataFrame, dims: Dims) -> F.Column:
-    """Partition filter keeping the hours the batch touches (bounded list, see module doc).
-    Beyond the calendar's broadcast bound it falls back to a broadcast-free semi-join key check."""
-    if not dims.check_bounds()["d_datetime"]:
-        return F.lit(True)  # no pruning; the union-aggregate still restricts to the batch's groups
-    keys = [r[0] for r in batch_hours(delta, dims).select(hour_key()).collect()]
+    """Partition filter keeping the calendar hours the batch touches (a bounded key list, see
+    module doc).  A batch touching more hours than ``MAX_PRUNE_HOURS`` is not pruned."""
+    hours = batch_hours(delta, dims).select(hour_key())
+    keys = [r[0] for r in hours.limit(MAX_PRUNE_HOURS + 1).collect()]
+    if len(keys) > MAX_PRUNE_HOURS:
+        return F.lit(True)
     return hour_key().isin(keys) if keys else F.lit(False)
 
 
