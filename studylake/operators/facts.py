@@ -38,25 +38,29 @@ def event_value() -> F.Column:
 EVENT_DIMS = ["d_eventtype", "d_study", "d_subject", "d_device", "d_mobile", "d_allocation"]
 EVENT_CODES = [C.TYPE_P, C.STUDY_TYPE, C.SUBJECT_ID, C.WATCH_ID, C.PHONE_ID, "capture_date"]
 EVENT_IDS = ["evtypid", "studyid", "subjectid", "deviceid", "mobileid"]
+PASSIVE_DIMS = ["d_sensor", "d_aggtype", "d_study", "d_subject", "d_device", "d_mobile", "d_allocation"]
+PASSIVE_CODES = [C.TYPE_P, "aggtypename", C.STUDY_TYPE, C.SUBJECT_ID, C.WATCH_ID, C.PHONE_ID, "capture_date"]
+PASSIVE_IDS = ["sensorid", "aggtypid", "studyid", "subjectid", "deviceid", "mobileid"]
 
 
-def _resolve_event_keys(ev: DataFrame, dims: Dims) -> DataFrame:
-    """Ids and site of each row, resolved once per distinct (codes, capture day) and joined back.
+def resolve_by_combination(df: DataFrame, dims: Dims, codes: list[str], ids: list[str],
+                           date_col: str = "capture_date") -> DataFrame:
+    """Ids and site of each row, resolved once per distinct ``codes`` combination and joined back.
 
     Used when a dimension is over the broadcast bound: the lookups then shuffle
-    the distinct combinations (partially aggregated, far fewer than events)
-    instead of every event row once per dimension, and the events are shuffled
-    at most once, for the join back (AQE may broadcast the combinations, and
+    the distinct combinations (partially aggregated, far fewer than the rows)
+    instead of every row once per dimension, and the rows are shuffled at most
+    once, for the null-safe join back (AQE may broadcast the combinations, and
     splits a hot combination's partition).
     """
-    keys = ev.select(*EVENT_CODES).distinct()
-    keys = allocate_site(resolve_codes(keys, dims, EVENT_IDS), dims, "capture_date")
-    k = keys.select(*[F.col(c).alias(f"__k_{c}") for c in EVENT_CODES], *EVENT_IDS, "siteid")
+    keys = df.select(*codes).distinct()
+    keys = allocate_site(resolve_codes(keys, dims, ids), dims, date_col)
+    k = keys.select(*[F.col(c).alias(f"__k_{c}") for c in codes], *ids, "siteid")
     cond = None
-    for c in EVENT_CODES:
+    for c in codes:
         e = F.col(c).eqNullSafe(F.col(f"__k_{c}"))
         cond = e if cond is None else cond & e
-    return ev.join(k, cond, "left").drop(*[f"__k_{c}" for c in EVENT_CODES])
+    return df.join(k, cond, "left").drop(*[f"__k_{c}" for c in codes])
 
 
 def resolve_events(refine: DataFrame, dims: Dims) -> DataFrame:
@@ -64,7 +68,7 @@ def resolve_events(refine: DataFrame, dims: Dims) -> DataFrame:
 
     With every dimension under the broadcast bound, the lookups and the
     allocation join are broadcast joins on the event rows (no shuffle);
-    otherwise see :func:`_resolve_event_keys`.
+    otherwise see :func:`resolve_by_combination`.
     """
     ev = event_rows(schemas.conform_to(refine, schemas.REFINE))  # P-11: a missing severity is a typed NULL
     ev = ev.withColumn("value", event_value()).withColumn("capture_date", F.to_date(C.START_TIME))
@@ -72,7 +76,7 @@ def resolve_events(refine: DataFrame, dims: Dims) -> DataFrame:
     if all(bounded[d] for d in EVENT_DIMS):
         ev = allocate_site(resolve_codes(ev, dims, EVENT_IDS), dims, "capture_date")
     else:
-        ev = _resolve_event_keys(ev, dims)
+        ev = resolve_by_combination(ev, dims, EVENT_CODES, EVENT_IDS)
     reason = (F.when(F.col("siteid") == 0, F.lit(C.R_NO_ALLOCATION))
               .when(F.col("evtypid") == 0, F.lit(C.R_UNKNOWN_EVENT_TYPE))
               .when(F.col("value").isNull(), F.lit(C.R_BAD_SEVERITY)))
@@ -100,9 +104,12 @@ def resolve_passive(delta: DataFrame, dims: Dims, history: DataFrame | None = No
         "aggtypename": aggregation_type_name(),
         "capture_date": capture_date_of_hour(),
     })
-    g = resolve_codes(g, dims, ["sensorid", "aggtypid", "studyid", "subjectid", "deviceid", "mobileid"])
+    bounded = dims.check_bounds()
+    if all(bounded[d] for d in PASSIVE_DIMS):
+        g = allocate_site(resolve_codes(g, dims, PASSIVE_IDS), dims, "capture_date")
+    else:
+        g = resolve_by_combination(g, dims, PASSIVE_CODES, PASSIVE_IDS)
     g = resolve_time(g, dims)
-    g = allocate_site(g, dims, "capture_date")
     reason = (F.when(F.col("siteid") == 0, F.lit(C.R_NO_ALLOCATION))
               .when(F.col("timeid") == 0, F.lit(C.R_UNKNOWN_TIME))
               .when(F.col("sensorid") == 0, F.lit(C.R_UNKNOWN_SENSOR))
