@@ -20,6 +20,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Coalescing targets min(advisory size, total / parallelism); this floor only binds for small
+    # shuffles.  Partitioned writes pay per output file, so a small batch spread over thousands of
+    # folders should still get several writer tasks (each folder still hashes to one writer).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.ui.showConsoleProgress": "false",
 }
 
