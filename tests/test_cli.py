@@ -20,3 +20,17 @@ def test_cli_jobs(spark, tmp_dir):
     main(["facts", "--refine", r, "--warehouse", wh])
     fact = warehouse.read_table(spark, wh, "f_passive")
     assert fact.count() > 0 and fact.filter(F.col("sensorid") != 3).count() == 0
+
+
+def test_cli_incremental(spark, tmp_dir):
+    raw = adapter.study_raw(spark, SF0001).drop(C.CORRUPT)
+    raw.filter(F.col(C.DATA_TYPE) == C.GYRO).write.json(f"{tmp_dir}/raw/2024/01/01/00")
+    wh = f"{tmp_dir}/wh"
+    main(["warehouse", "--warehouse", wh, "--testdata", SF0001])
+    args = ["incremental", "--raw", f"{tmp_dir}/raw", "--refine", f"{tmp_dir}/r", "--conform", f"{tmp_dir}/c",
+            "--warehouse", wh, "--checkpoint", f"{tmp_dir}/ckpt"]
+    main(args)
+    n = warehouse.read_table(spark, wh, "f_passive").count()
+    assert n > 0
+    main(args)  # nothing new: nothing changes
+    assert warehouse.read_table(spark, wh, "f_passive").count() == n
