@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from studylake import schemas
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Session setting that overrides the bound for every bundle without code changes.
+MAX_BROADCAST_ROWS_CONF = "spark.studylake.maxBroadcastRows"
 
 
 @dataclass
@@ -51,7 +53,9 @@ class Dims:
             counts = {r["dim"]: r["n"] for r in reduce(DataFrame.unionByName, parts)
                       .groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
             self.row_counts = {name: counts.get(name, 0) for name, _ in self.items()}
-            self._bounded = {name: n <= self.max_broadcast_rows for name, n in self.row_counts.items()}
+            conf = self.d_site.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
+            bound = int(conf) if conf else self.max_broadcast_rows
+            self._bounded = {name: n <= bound for name, n in self.row_counts.items()}
         return self._bounded
 
     def side(self, name: str, df: DataFrame | None = None) -> DataFrame:

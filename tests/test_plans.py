@@ -117,3 +117,14 @@ def test_unbounded_dimensions_fall_back_to_shuffle_joins(spark, tmp_dir):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_broadcast_bound_from_session_conf(spark):
+    from studylake.dims import MAX_BROADCAST_ROWS_CONF
+    try:
+        spark.conf.set(MAX_BROADCAST_ROWS_CONF, "100")
+        bounded = adapter.study_dims(spark, SF0001).check_bounds()
+        assert bounded["d_sensor"] and not bounded["d_subject"]
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+    assert adapter.study_dims(spark, SF0001).check_bounds()["d_subject"]
