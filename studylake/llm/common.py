@@ -131,16 +131,16 @@ def grams(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
     A text with 1 to n-1 words has its whole sequence as one run.
     """
     m = len(h)
-    acc = np.zeros(m, dtype=_U)
-    k = np.arange(m)
-    own = np.searchsorted(first, k, side="right") - 1
-    last = first[own + 1] if m else k
-    length = np.minimum(n, last - k)
-    for i in range(n):
-        ok = length > i
-        acc[ok] = mix(acc[ok] * _U(0x9FB21C651E98DF25) + h[k[ok] + i] + _U(i + 1))
-    whole = (length == n) | ((last - first[own] < n) & (k == first[own])) if m else np.zeros(0, dtype=bool)
-    at = np.flatnonzero(whole)
+    size = np.diff(first)
+    own = np.repeat(np.arange(len(size)), size)
+    left = first[1:][own] - np.arange(m)  # words from here to the end of the text
+    acc = mix(h * _U(0x9FB21C651E98DF25) + _U(1))
+    for i in range(1, n):
+        nxt = np.zeros(m, dtype=_U)
+        nxt[:m - i] = h[i:] if m > i else 0
+        acc = np.where(left > i, (acc ^ (acc >> _U(29))) * _U(0x9FB21C651E98DF25) + nxt + _U(i + 1), acc)
+    acc = mix(acc)
+    at = np.flatnonzero((left >= n) | ((left == size[own]) & (left > 0)))
     return acc[at], at
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from studylake.llm import secret_ledger, url_redirects
+from studylake.llm import quality_fm, secret_ledger, url_redirects
 
 QUERIES = {
     "op3_redirect_equivalence": url_redirects.op3_redirect_equivalence,
+    "op5_factorisation_machine": quality_fm.op5_factorisation_machine,
     "op10_blob_ledger": secret_ledger.op10_blob_ledger,
 }
 
