@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from studylake.llm import quality_fm, secret_ledger, url_redirects
+from studylake.llm import ngram_jaccard, quality_fm, secret_ledger, url_redirects
 
 QUERIES = {
     "op3_redirect_equivalence": url_redirects.op3_redirect_equivalence,
     "op5_factorisation_machine": quality_fm.op5_factorisation_machine,
+    "op8_bitmap_tiles": ngram_jaccard.op8_bitmap_tiles,
     "op10_blob_ledger": secret_ledger.op10_blob_ledger,
 }
 
 ORACLE = {
     "op3_redirect_equivalence": url_redirects.SQL,
+    "op8_bitmap_tiles": ngram_jaccard.SQL,
     "op10_blob_ledger": secret_ledger.SQL,
 }
