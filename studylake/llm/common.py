@@ -58,8 +58,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
 _BYTE[65:91] = _BYTE[97:123]
-_SEP = np.zeros(256, dtype=bool)
-_SEP[[0x20, 9, 10, 11, 12, 13]] = True
+#: Bytes between words.
+WHITE_SPACE = np.zeros(256, dtype=bool)
+WHITE_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: All ASCII but letters and digits.
+NOT_ALPHANUMERIC = np.zeros(256, dtype=bool)
+NOT_ALPHANUMERIC[:128] = [not chr(c).isalnum() for c in range(128)]
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -94,7 +98,7 @@ def string_buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, off: np.ndarray, separators: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start byte, end byte) of every word and (first word of text i, ..., number of words).
 
     The fourth array has len(off) entries: text i owns words first[i]:first[i + 1].
@@ -103,7 +107,7 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     if n == 0:
         e = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=_U), e, e, np.zeros(len(off), dtype=np.int64)
-    word = ~_SEP[data]
+    word = ~separators[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[off] = True
     edge[n] = True
