@@ -190,7 +190,7 @@ def _routes(documents: DataFrame) -> DataFrame:
 
     # the salt is a hash of the row, so a task that runs again deals its rows out as before
     plain = [c for c, kind in documents.dtypes if "map<" not in kind and kind != "variant"]
-    return documents.withColumn("route", F.xxhash64(*plain)).mapInArrow(run, StructType(documents.schema.fields).add("route", LongType()))
+    return documents.withColumn("route", F.xxhash64(*plain)).mapInArrow(run, StructType(list(documents.schema.fields)).add("route", LongType()))
 
 
 def encoded(documents: DataFrame, path: str | None = None, ids: bool = False) -> DataFrame:
@@ -202,7 +202,7 @@ def encoded(documents: DataFrame, path: str | None = None, ids: bool = False) ->
     small_batches(documents.sparkSession)
     path = path or default_path()
     source = documents.drop("route", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
-    schema = StructType(source.schema.fields).add("n_tokens", LongType()).add("ids_sha256", StringType()).add("decoded_sha256", StringType())
+    schema = StructType(list(source.schema.fields)).add("n_tokens", LongType()).add("ids_sha256", StringType()).add("decoded_sha256", StringType())
     schema = schema.add("ids", ArrayType(IntegerType())) if ids else schema
 
     def run(batches):
@@ -235,7 +235,7 @@ def decoded(frame: DataFrame, path: str | None = None) -> DataFrame:
         for b in batches:
             yield b.append_column("decoded", pa.array([bpe.decode(x or []) for x in b.column("ids").to_pylist()], pa.string()))
 
-    return source.mapInArrow(run, StructType(source.schema.fields).add("decoded", StringType()))
+    return source.mapInArrow(run, StructType(list(source.schema.fields)).add("decoded", StringType()))
 
 
 def op9_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
