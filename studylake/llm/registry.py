@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from studylake.llm import bpe_chunks, decontaminate, ngram_jaccard, quality_fm, secret_ledger, url_redirects
+from studylake.llm import ann_multiprobe, bpe_chunks, decontaminate, ngram_jaccard, quality_fm, secret_ledger, url_redirects
 
 QUERIES = {
     "op3_redirect_equivalence": url_redirects.op3_redirect_equivalence,
+    "op4_multiprobe": ann_multiprobe.op4_multiprobe,
     "op5_factorisation_machine": quality_fm.op5_factorisation_machine,
     "op6_seed_align": decontaminate.op6_seed_align,
     "op8_bitmap_tiles": ngram_jaccard.op8_bitmap_tiles,
