@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from studylake.llm import ann_multiprobe, bpe_chunks, decontaminate, ngram_jaccard, quality_fm, secret_ledger, url_redirects
+from studylake.llm import ann_multiprobe, bpe_chunks, decontaminate, html_style_tree, ngram_jaccard, quality_fm, secret_ledger, url_redirects
 
 QUERIES = {
     "op3_redirect_equivalence": url_redirects.op3_redirect_equivalence,
     "op4_multiprobe": ann_multiprobe.op4_multiprobe,
     "op5_factorisation_machine": quality_fm.op5_factorisation_machine,
     "op6_seed_align": decontaminate.op6_seed_align,
+    "op7_style_tree": html_style_tree.op7_style_tree,
     "op8_bitmap_tiles": ngram_jaccard.op8_bitmap_tiles,
     "op9_chunk_reuse": bpe_chunks.op9_chunk_reuse,
     "op10_blob_ledger": secret_ledger.op10_blob_ledger,
