@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from studylake.llm import ann_multiprobe, bpe_chunks, decontaminate, html_style_tree, ngram_jaccard, quality_fm, secret_ledger, url_redirects
+from studylake.llm import ann_multiprobe, bpe_chunks, decontaminate, html_style_tree, ngram_jaccard, quality_fm, secret_ledger, token_attribution, toxicity_ordinal, url_redirects
 
 QUERIES = {
+    "op1_offset_attribution": token_attribution.op1_offset_attribution,
+    "op2_ordinal_severity": toxicity_ordinal.op2_ordinal_severity,
     "op3_redirect_equivalence": url_redirects.op3_redirect_equivalence,
     "op4_multiprobe": ann_multiprobe.op4_multiprobe,
     "op5_factorisation_machine": quality_fm.op5_factorisation_machine,
