@@ -92,9 +92,10 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
     return spark.read.schema(f"blob string, scanned array<string>, spans array<{SPAN}>").parquet(ledger)
 
 
-def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULES) -> DataFrame:
-    """All columns of ``versions`` but text, and ``spans`` sorted by start and rule, for ``versions`` with a column text.
+def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULES, keep_text: bool = False) -> DataFrame:
+    """All columns of ``versions`` but text (unless kept), and ``spans`` sorted by start and rule, for ``versions`` with a column text.
 
+    Columns named blob or spans are replaced.
     Appends to the ledger what it lacked; a run that fails before the append
     commits leaves the ledger as it was.
     """
@@ -121,7 +122,8 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[SecretRule]
     ranked = F.transform(current, lambda x: F.struct(x["start"].alias("start"), F.array_position(order, tag(x)).alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))
     spans = (read_ledger(spark, ledger).where(F.size("spans") > 0).select("blob", ranked.alias("spans"))
              .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")))
-    kept = versions.withColumn("blob", F.sha2(text, 256)).drop("text")
+    kept = versions.drop("blob", "spans").withColumn("blob", F.sha2(text, 256))
+    kept = kept if keep_text else kept.drop("text")
     return (kept.join(spans, "blob", "left")
             .withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:bigint,rank:bigint,end:bigint,kind:string>>"))))
 
@@ -130,6 +132,21 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def redact(documents: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULES) -> DataFrame:
+    """``documents`` with every span of ``text`` replaced by ``[kind]``; overlapping spans become one, named by the first."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+
+    def step(acc: Column, x: Column) -> Column:
+        upto = F.when(x["start"] > acc["pos"], F.substring(text, acc["pos"].cast("int") + 1, (x["start"] - acc["pos"]).cast("int"))).otherwise("")
+        more = F.when(x["start"] >= acc["pos"], F.concat(acc["out"], upto, F.lit("["), x["kind"], F.lit("]"))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), more.alias("out"))
+
+    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit("").alias("out"))
+    hidden = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"].cast("int") + 1, 2147483647)))
+    found = scan_versions(documents, ledger, rules, keep_text=True)
+    return found.withColumn("text", F.when(F.size("spans") > 0, hidden).otherwise(F.col("text"))).select(*documents.columns)
+
+
 def digests(found: DataFrame) -> DataFrame:
     """The contract's columns from rows with doc_id and spans."""
     base = F.filter("spans", lambda s: s["rank"] <= len(BASE_RULES))
