@@ -10,8 +10,8 @@ texts link when ``den * |A & B| >= num * |A | B|``.  The steps:
    non-empty part.  Part hashes lead every set to the sets it may link with,
    and losing a link is impossible (see ``parts``).
 3. *Families.*  Connected components over equal parts; no link leaves one.
-4. *Tiles.*  A family, ordered by size, is cut into blocks of bounded bytes;
-   pairs of blocks whose sizes can link are the tiles, dealt out over all
+4. *Tiles.*  A family is cut by bands of sizes and hash into blocks of bounded
+   bytes; pairs of blocks whose sizes can link are the tiles, dealt out over all
    tasks.  So a huge family becomes many tiles, and none is one task's group.
 5. *Inside a tile*, hashed bitmaps bound the overlap from above: shingles of A
    whose bit is not set in B cannot be shared.  Pairs that pass the bound are
@@ -28,6 +28,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,13 @@ from studylake.llm.common import _U, components, grams, groups, mix, small_batch
 NUM, DEN = 90, 100
 SHINGLE = 3
 BAND_RATIO = 1.5
+#: Parts are added until a set has so many empty parts that they must be emitted with about this chance.
+RARE_EMPTIES = 1e-3
 #: Bounds of a block: shingles (8 bytes each) and members.  They set the size of a task's work, not the result.
 BLOCK_SHINGLES = 1 << 20
 BLOCK_MEMBERS = 1024
+#: Blocks hold members of sizes within this ratio.
+TILE_RATIO = 1.1
 
 
 class Bands:
@@ -49,20 +54,36 @@ class Bands:
 
     def __init__(self, num: int = NUM, den: int = DEN, ratio: float = BAND_RATIO):
         self.num, self.den = num, den
-        self.ratio = max(ratio, den / num)
+        # a low threshold allows many differences: narrower bands then keep the parts large
+        self.ratio = max(min(ratio, 1 + 5 * (den - num) / den), den / num)
         self.start, self.parts = [1], [1]
 
+    def differ(self, hi: int) -> int:
+        """The most shingles in which linked sets of sizes a, b <= hi differ: |A xor B| <= (a + b) (den - num) / (den + num)."""
+        return 2 * hi * (self.den - self.num) // (self.den + self.num)
+
     def _grow(self, size: int) -> None:
         while self.start[-1] <= size:
             lo = self.start[-1]
             hi = max(lo, int(lo * self.ratio))
-            # |A xor B| <= (a + b) (den - num) / (den + num) for linked sets of sizes a, b <= hi
-            differ = 2 * hi * (self.den - self.num) // (self.den + self.num)
-            spare = 0 if differ == 0 else 1 if differ < 8 else 2
-            self.parts[-1] = differ + 1 + spare
+            d = self.differ(hi)
+            spare = 0
+            while d and self._empties(lo, d + 1 + spare, spare + 1) > RARE_EMPTIES:
+                spare += 1
+            self.parts[-1] = d + 1 + spare
             self.start.append(hi + 1)
             self.parts.append(0)
 
+    @staticmethod
+    def _empties(size: int, k: int, at_least: int) -> float:
+        """About the chance that a set of this size leaves that many of k parts empty (Poisson)."""
+        mean = k * math.exp(-size / k)
+        term = total = math.exp(-mean)
+        for i in range(1, at_least):
+            term *= mean / i
+            total += term
+        return 1 - total
+
     def of(self, size: int) -> list[tuple[int, int, int]]:
         """(band, parts, parts that must agree) in which a set of this size has to appear: its own, and the next if a partner can be there."""
         largest = size * self.den // self.num
@@ -70,10 +91,9 @@ class Bands:
         own, far = bisect.bisect_right(self.start, size) - 1, bisect.bisect_right(self.start, largest) - 1
         out = []
         for b in range(own, far + 1):
-            hi = self.start[b + 1] - 1
-            differ = 2 * hi * (self.den - self.num) // (self.den + self.num)
-            if differ:  # else only equal sets can link there, and those are one set already
-                out.append((b, self.parts[b], self.parts[b] - differ))
+            d = self.differ(self.start[b + 1] - 1)
+            if d:  # else only equal sets can link there, and those are one set already
+                out.append((b, self.parts[b], self.parts[b] - d))
         return out
 
 
@@ -230,20 +250,30 @@ def _verified(tiles: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def tiles_of(members: DataFrame, num: int, den: int) -> DataFrame:
-    """(rep, tiles: array of (tile, side)) from ``members`` (family, rep, n); side 0: diagonal tile, 1 and 2: the two blocks."""
+    """(rep, tiles: array of (tile, side)) from ``members`` (family, rep, n); side 0: diagonal tile, 1 and 2: the two blocks.
+
+    A block holds members of one family and one band of sizes, chosen by hash;
+    their number follows from pre-aggregated sums, so no task sees a family.
+    """
     weight = F.greatest(F.col("n"), F.lit(BLOCK_SHINGLES // BLOCK_MEMBERS))
-    order = Window.partitionBy("family").orderBy("n", "rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = members.withColumn("block", F.floor((F.sum(weight).over(order) - weight) / BLOCK_SHINGLES))
-    blocks = placed.groupBy("family", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    band = F.floor(F.log("n") / math.log(TILE_RATIO))
+    banded = members.withColumn("band", band)
+    many = banded.groupBy("family", "band").agg(F.ceil(F.sum(weight) / BLOCK_SHINGLES).alias("many"))
+    placed = banded.join(many, ["family", "band"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("many"))).drop("many")
+    blocks = placed.groupBy("family", "band", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     a, b = blocks.alias("a"), blocks.alias("b")
     pairs = (a.join(b, F.col("a.family") == F.col("b.family"))
-             .where(F.expr(f"a.block = b.block or a.block < b.block and {den} * a.hi >= {num} * b.lo"))
-             .select(F.col("a.family").alias("family"), F.col("a.block").alias("x"), F.col("b.block").alias("y")))
-    tile = F.xxhash64("family", "x", "y").alias("tile")
-    sides = (pairs.select("family", F.col("x").alias("block"), F.struct(tile, F.when(F.col("x") == F.col("y"), 0).otherwise(1).alias("side")).alias("t"))
-             .unionByName(pairs.where("x < y").select("family", F.col("y").alias("block"), F.struct(tile, F.lit(2).alias("side")).alias("t")))
-             .groupBy("family", "block").agg(F.collect_list("t").alias("tiles")))
-    return placed.join(sides, ["family", "block"]).select("rep", "tiles")
+             .where(F.expr(f"(a.band, a.block) = (b.band, b.block) or (a.band, a.block) < (b.band, b.block) and {den} * a.hi >= {num} * b.lo and {den} * b.hi >= {num} * a.lo"))
+             .select(F.col("a.family").alias("family"), *[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in ("band", "block")]))
+    own = F.expr("(a_band, a_block) = (b_band, b_block)")
+    tile = F.xxhash64("family", "a_band", "a_block", "b_band", "b_block").alias("tile")
+
+    def side(x: str, k) -> DataFrame:
+        return pairs.select("family", F.col(f"{x}_band").alias("band"), F.col(f"{x}_block").alias("block"), F.struct(tile, k.alias("side")).alias("t"), own.alias("own"))
+
+    sides = (side("a", F.when(own, 0).otherwise(1)).unionByName(side("b", F.lit(2)).where("not own"))
+             .groupBy("family", "band", "block").agg(F.collect_list("t").alias("tiles")))
+    return placed.join(sides, ["family", "band", "block"]).select("rep", "tiles")
 
 
 def link(documents: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
