@@ -40,8 +40,8 @@ from studylake.llm.common import _U, components, grams, groups, mix, small_batch
 NUM, DEN = 90, 100
 SHINGLE = 3
 BAND_RATIO = 1.5
-#: Parts are added until a set has so many empty parts that they must be emitted with about this chance.
-RARE_EMPTIES = 1e-3
+#: Parts are added until a set seldom (beyond so many deviations) has so many empty parts that they must be emitted.
+SPREAD = 3.1
 #: Bounds of a block: shingles (8 bytes each) and members.  They set the size of a task's work, not the result.
 BLOCK_SHINGLES = 1 << 20
 BLOCK_MEMBERS = 1024
@@ -68,21 +68,22 @@ class Bands:
             hi = max(lo, int(lo * self.ratio))
             d = self.differ(hi)
             spare = 0
-            while d and self._empties(lo, d + 1 + spare, spare + 1) > RARE_EMPTIES:
+            while d and self._empties(lo, d + 1 + spare) >= spare + 1:
                 spare += 1
             self.parts[-1] = d + 1 + spare
             self.start.append(hi + 1)
             self.parts.append(0)
 
     @staticmethod
-    def _empties(size: int, k: int, at_least: int) -> float:
-        """About the chance that a set of this size leaves that many of k parts empty (Poisson)."""
-        mean = k * math.exp(-size / k)
-        term = total = math.exp(-mean)
-        for i in range(1, at_least):
-            term *= mean / i
-            total += term
-        return 1 - total
+    def _empties(size: int, k: int) -> float:
+        """A number of empty parts that a set of this size seldom exceeds: the occupancy's mean and SPREAD deviations.
+
+        With more parts than shingles the mean nears k - size and the deviation
+        falls, so the search for a number of parts always ends.
+        """
+        none = math.exp(-size / k)
+        mean = k * (1 - 1 / k) ** size
+        return mean + SPREAD * math.sqrt(max(0.0, k * none * (1 - (1 + size / k) * none)))
 
     def of(self, size: int) -> list[tuple[int, int, int]]:
         """(band, parts, parts that must agree) in which a set of this size has to appear: its own, and the next if a partner can be there."""
