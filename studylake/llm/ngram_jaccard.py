@@ -13,10 +13,13 @@ texts link when ``den * |A & B| >= num * |A | B|``.  The steps:
 4. *Tiles.*  A family is cut by bands of sizes and hash into blocks of bounded
    bytes; pairs of blocks whose sizes can link are the tiles, dealt out over all
    tasks.  So a huge family becomes many tiles, and none is one task's group.
-5. *Inside a tile*, hashed bitmaps bound the overlap from above: shingles of A
-   whose bit is not set in B cannot be shared.  Pairs that pass the bound are
-   counted exactly by searching sorted arrays.  A tile returns a spanning
-   forest of its links and each member's number of links, never all pairs.
+5. *Screening.*  Members meet in their tiles as hashed bitmaps, a small part of
+   their sets' bytes.  Bit counts bound the overlap from above: shingles of A
+   whose bit is not set in B cannot be shared.  Only members that pass with
+   some partner of a tile bring their sets to that tile.
+   *Inside a tile*, pairs that pass the bound are counted exactly by searching
+   sorted arrays.  A tile returns a spanning forest of its links and each
+   member's number of links, never all pairs.
 6. Components over the forests give the classes.
 
 Edge cases: null or empty texts, and texts without words, have an empty set
@@ -131,6 +134,40 @@ def digest(s: np.ndarray) -> bytes:
     return int(mix(s).sum(dtype=_U)).to_bytes(8, "little") + int(mix(s ^ _U(0xA5A5A5A5A5A5A5A5)).sum(dtype=_U)).to_bytes(8, "little")
 
 
+def signature(s: np.ndarray) -> bytes:
+    """Packed bitmap of a set: bit (hash modulo the number of bits) for every shingle."""
+    bits = 1 << int(np.clip(np.ceil(np.log2(2 * max(len(s), 1))), 9, 15))
+    m = np.zeros(bits, dtype=bool)
+    m[(s & _U(bits - 1)).astype(np.int64)] = True
+    return np.packbits(m, bitorder="little").tobytes()
+
+
+def _bitmaps(packed: list[bytes], n_bytes: int) -> np.ndarray:
+    """Bitmaps as a matrix of 0 and 1, folded to ``n_bytes`` bytes each."""
+    rows = [np.bitwise_or.reduce(np.frombuffer(p, dtype=np.uint8).reshape(-1, n_bytes), axis=0) for p in packed]
+    return np.unpackbits(np.stack(rows), axis=1, bitorder="little").astype(np.float32)
+
+
+def _screened(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(rep, tile) of ``members`` (tile, side, rep, n, bitmap) that may link with another member of the tile's other block."""
+    def run(batches):
+        for t in groups(batches, "tile"):
+            rep, n, side = (t[c].to_numpy() for c in ("rep", "n", "side"))
+            packed = t["bitmap"].to_pylist()
+            at_l, at_r = (np.arange(len(rep)),) * 2 if (side == 0).all() else (np.flatnonzero(side == 1), np.flatnonzero(side == 2))
+            if not len(at_l) or not len(at_r):
+                continue
+            maps = _bitmaps(packed, min(map(len, packed)))
+            a, b, size_a, size_b = maps[at_l], maps[at_r], n[at_l].astype(np.float64), n[at_r].astype(np.float64)
+            bound = np.minimum((size_a - a.sum(1))[:, None], (size_b - b.sum(1))[None, :]) + a @ b.T
+            maybe = ((den + num) * bound >= num * (size_a[:, None] + size_b[None, :])) & (rep[at_l][:, None] != rep[at_r][None, :])
+            keep = np.unique(np.r_[rep[at_l[maybe.any(1)]], rep[at_r[maybe.any(0)]]])
+            if len(keep):
+                yield pa.RecordBatch.from_arrays([pa.array(keep), pa.array(np.full(len(keep), t["tile"][0].as_py()))], ["rep", "tile"])
+
+    return members.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "rep bigint, tile bigint")
+
+
 def _sets_frame(documents: DataFrame, n: int, num: int, den: int) -> DataFrame:
     def run(batches):
         bands = Bands(num, den)
@@ -143,9 +180,10 @@ def _sets_frame(documents: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 flat = np.concatenate(keys) if keys else np.zeros(0, dtype=_U)
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.view(np.int64)))], ["doc_id", "n", "digest", "keys"])
+                    pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.view(np.int64))),
+                    pa.array([signature(s) for s in sets], pa.binary())], ["doc_id", "n", "digest", "keys", "bitmap"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, digest binary, keys array<bigint>")
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, digest binary, keys array<bigint>, bitmap binary")
 
 
 def _arrays_frame(texts: DataFrame, n: int) -> DataFrame:
@@ -289,7 +327,11 @@ def link(documents: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN)
     families = written(components(agree.select(F.col("rep").alias("src"), F.col("first").alias("dst"))), "jaccard-families")
     members = families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(reps, "rep")
     placed = members.select("family", "rep", "n").groupBy("family", "rep").agg(F.max("n").alias("n"))
-    wanted = members.select("rep", "mult", "digest").join(tiles_of(placed, num, den), "rep")
+    wanted = written(members.select("rep", "mult", "digest").join(tiles_of(placed, num, den), "rep"), "jaccard-tiles")
+    bitmaps = some.groupBy("digest").agg(F.max("n").alias("n"), F.first("bitmap").alias("bitmap"))
+    meet = wanted.join(bitmaps, "digest").select("rep", "n", "bitmap", F.explode("tiles").alias("t")).select("t.tile", "t.side", "rep", "n", "bitmap")
+    screened = _screened(meet, num, den).groupBy("rep").agg(F.collect_set("tile").alias("passed"))
+    wanted = wanted.join(screened, "rep").select("rep", "mult", "digest", F.filter("tiles", lambda t: F.array_contains("passed", t["tile"])).alias("tiles"))
     texts = documents.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(wanted, "rep")
     arrays = _arrays_frame(texts, n)
     tiles = arrays.select("rep", "mult", "shingles", F.explode("tiles").alias("t")).select(F.col("t.tile").alias("tile"), F.col("t.side").alias("side"), "rep", "mult", "shingles")
@@ -299,7 +341,7 @@ def link(documents: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN)
     of_set = (reps.select("digest", "rep", "mult")
               .join(classes.select(F.col("node").alias("rep"), "component"), "rep", "left").join(counts, "rep", "left")
               .select("digest", F.coalesce("component", "rep").alias("in_class"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links")))
-    return (rows.drop("keys").join(of_set, "digest", "left")
+    return (rows.drop("keys", "bitmap").join(of_set, "digest", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("in_class"))).otherwise(F.col("doc_id")).alias("component_id"),
                     F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("links")).otherwise(F.lit(0)).alias("n_links")))
