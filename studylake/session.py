@@ -27,6 +27,9 @@ SESSION_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: Settings that change results: a session that refuses them is an error.
+REQUIRED = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "studylake", **extra) -> SparkSession:
     """Local session for tests and benchmarks.  On a cluster, pass the cluster's own settings."""
@@ -47,8 +50,9 @@ def apply_conf(spark: SparkSession) -> None:
     for k, v in SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings: keep the cluster's value
-            pass
+        except Exception:  # static or locked settings: keep the cluster's value, but never with another zone or ANSI mode
+            if k in REQUIRED and spark.conf.get(k, None) != v:
+                raise
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -27,6 +27,15 @@ from studylake.sources.zones import read_refine, stream_refine
 DEFAULT_MAX_FILES_PER_TRIGGER = 5000
 
 
+def _finish(q, timeout_s: float | None) -> None:
+    """Wait for an ``availableNow`` query; a run that hits its time limit is stopped and raises."""
+    if q.awaitTermination(timeout_s) is False:
+        q.stop()
+        raise TimeoutError(f"the run did not finish in {timeout_s} s; the next run goes on from its checkpoint")
+    if q.exception() is not None:
+        raise q.exception()
+
+
 def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: Dims, root: str,
                     checkpoint: str, max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
                     timeout_s: float | None = None, processing_time: str | None = None):
@@ -54,9 +63,7 @@ def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: D
     if processing_time:
         return w.trigger(processingTime=processing_time).start()
     q = w.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(q, timeout_s)
 
 
 def refine_stream(spark: SparkSession, refine_dir: str) -> DataFrame:
@@ -81,6 +88,4 @@ def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root
 
     q = (refine_stream(spark, refine_dir).writeStream.foreachBatch(handle)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(q, timeout_s)

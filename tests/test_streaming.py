@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from studylake import constants as C
@@ -31,3 +33,22 @@ def test_available_now_twice(spark, tmp_dir):
     run_incremental(spark, raw_dir, zones, dims, root, ckpt)
     assert read_refine(spark, zones.refine).count() == raw.count()
     assert warehouse.read_table(spark, root, "f_passive").count() > 0
+
+
+class _Endless:
+    stopped = False
+
+    def awaitTermination(self, timeout):
+        return False
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_a_run_that_hits_its_time_limit_raises():
+    from studylake.streaming.incremental import _finish
+
+    q = _Endless()
+    with pytest.raises(TimeoutError):
+        _finish(q, 1)
+    assert q.stopped
