@@ -19,7 +19,7 @@ import json
 
 from studylake import schemas
 from studylake.dims import Dims
-from studylake.plans.jobs import LAST_RUN_METRICS, ZonePaths, init_warehouse, load_facts, refine_and_conform
+from studylake.plans.jobs import ZonePaths, init_warehouse, load_facts, refine_and_conform
 from studylake.session import apply_conf, build_session
 from studylake.sinks.warehouse import read_dims
 from studylake.sources.raw import read_raw
@@ -54,9 +54,9 @@ def main(argv: list[str] | None = None) -> None:
         apply_conf(spark)
 
     if a.job == "zones":
-        acc, _ = refine_and_conform(spark, read_raw(spark, a.raw), ZonePaths(a.refine, a.conform))
-        acc.unpersist()
-        print(json.dumps(LAST_RUN_METRICS))
+        refined = refine_and_conform(spark, read_raw(spark, a.raw), ZonePaths(a.refine, a.conform))
+        refined.unpersist()
+        print(json.dumps(refined.metrics))
     elif a.job == "warehouse":
         if a.testdata:
             from studylake.sources.adapter import study_dims

@@ -25,7 +25,7 @@ from studylake.operators.lookups import latest_code, preview, resolve_codes, res
 from studylake.operators.normalise import accepted, conform_partitions, legacy_type_frames, normalise
 from studylake.operators.quality import fk_violations, pk_violations
 from studylake.operators.rejects import allocation_errors, reject_rows, summarise_rejects
-from studylake.plans.jobs import ZonePaths, init_warehouse
+from studylake.plans.jobs import ZonePaths, init_warehouse, load_facts, run_batch
 from studylake.session import apply_conf, scratch_path
 from studylake.sinks import warehouse
 from studylake.sinks.zones import write_conform, write_per_type, write_refine, zone_profile
@@ -349,6 +349,30 @@ def q_incremental_load(spark, sf_dir):
     return _passive_out(warehouse.read_table(spark, root, "f_passive"))
 
 
+def q_run_rejects(spark, sf_dir):
+    """The rejects of one run that is loaded as two micro-batches; hourly groups cross them."""
+    _, ref = _prep(spark, sf_dir)
+    dims = _dims(spark, sf_dir)
+    root = scratch_path(spark, "wh_run_rejects")
+    run = warehouse.RunRejects(spark, root, "run").begin()
+    second = F.pmod(F.xxhash64(C.MEASUREMENT_TIME, C.START_TIME), F.lit(2)) == 1
+    for tag, part in (("0", ~second), ("1", second)):
+        load_facts(spark, ref.filter(part), ref, dims, root, run=run, batch_tag=tag)
+    run.complete()
+    return warehouse.read_table(spark, root, "rejects")
+
+
+def q_batch_load(spark, sf_dir):
+    """M-1 and M-3 as one batch job, apart from the stream."""
+    raw, _ = _prep(spark, sf_dir)
+    dims = _dims(spark, sf_dir)
+    base = scratch_path(spark, "batch_load")
+    root = f"{base}/warehouse"
+    init_warehouse(spark, root, dims)
+    run_batch(spark, raw, ZonePaths(refine=f"{base}/refine", conform=f"{base}/conform"), dims, root)
+    return _passive_out(warehouse.read_table(spark, root, "f_passive"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_types": q_distinct_types,
     "route_and_prune": q_route_and_prune,
@@ -381,4 +405,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_profile": q_zone_profile,
     "static_dims": q_static_dims,
     "incremental_load": q_incremental_load,
+    "run_rejects": q_run_rejects,
+    "batch_load": q_batch_load,
 }

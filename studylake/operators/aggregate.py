@@ -12,9 +12,9 @@ grouping handles NULL codes natively (no text matching), partial aggregation
 collapses a hot group before the shuffle, and history is pruned to the
 batch's hour folders by an IN filter on the partition columns (static
 partition pruning: the scan lists only those folders).  The hour list is the
-calendar hours the batch touches, and its length is checked (at most
-``MAX_PRUNE_HOURS``) before it is used; hours outside the calendar cannot load
-(``unknown_time``), so nothing is lost by the pruning.
+distinct hours of the batch, and its length is checked (at most
+``MAX_PRUNE_HOURS``) before it is used; beyond it the same hours are kept by a
+semi-join, so the answer does not depend on the number of hours.
 """
 
 from __future__ import annotations
@@ -45,30 +45,25 @@ def hourly_heart_rate(refine: DataFrame) -> DataFrame:
                                               F.count(F.lit(1)).alias("rec_count"))
 
 
-def batch_hours(delta: DataFrame, dims: Dims) -> DataFrame:
-    """Calendar hours the batch touches, as refine partition values (bounded by the calendar)."""
-    cal = dims.d_datetime.select(F.col("year").alias(C.YEAR_P), F.col("month").alias(C.MONTH_P),
-                                 F.col("date").alias(C.DAY_P), F.col("hour").alias(C.HOUR_P))
-    # distinct() first: partial aggregation cuts the batch to its hours before any exchange.
-    return cal.join(delta.select(*HOUR_COLS).distinct(), HOUR_COLS, "left_semi").distinct()
-
-
 def hour_key(year=C.YEAR_P, month=C.MONTH_P, day=C.DAY_P, hour=C.HOUR_P) -> F.Column:
     """One int per calendar hour, over partition columns only (usable as a partition filter)."""
     return ((F.col(year) * 100 + F.col(month)) * 100 + F.col(day)) * 100 + F.col(hour)
 
 
-MAX_PRUNE_HOURS = 1_000_000  # 114 years of hours; beyond it history is not pruned (still correct)
+MAX_PRUNE_HOURS = 100_000  # 11 years of hours as a list of ints; beyond it a semi-join keeps the same rows
 
 
-def hour_filter(delta: DataFrame, dims: Dims) -> F.Column:
-    """Partition filter keeping the calendar hours the batch touches (a bounded key list, see
-    module doc).  A batch touching more hours than ``MAX_PRUNE_HOURS`` is not pruned."""
-    hours = batch_hours(delta, dims).select(hour_key())
+def in_batch_hours(history: DataFrame, delta: DataFrame) -> DataFrame:
+    """History rows of the hours that the batch touches.  An hour with a NULL part is kept whole:
+    the grouping matches NULL parts, a list of keys does not."""
+    keyless = hour_key().isNull()
+    # distinct() first: partial aggregation cuts the batch to its hours before the exchange.
+    hours = delta.select(hour_key().alias("__hour")).where("__hour is not null").distinct()
     keys = [r[0] for r in hours.limit(MAX_PRUNE_HOURS + 1).collect()]
-    if len(keys) > MAX_PRUNE_HOURS:
-        return F.lit(True)
-    return hour_key().isin(keys) if keys else F.lit(False)
+    if len(keys) <= MAX_PRUNE_HOURS:
+        return history.filter((hour_key().isin(keys) if keys else F.lit(False)) | keyless)
+    return (history.withColumn("__hour", hour_key()).filter(~keyless).join(hours, "__hour", "left_semi").drop("__hour")
+            .unionByName(history.filter(keyless)))
 
 
 def affected_hours(delta: DataFrame, history: DataFrame | None, dims: Dims | None = None) -> DataFrame:
@@ -81,7 +76,7 @@ def affected_hours(delta: DataFrame, history: DataFrame | None, dims: Dims | Non
     if history is not None:
         h = history.filter(F.col(C.TYPE_P) == C.HEART_RATE)
         if dims is not None:
-            h = h.filter(hour_filter(d, dims))
+            h = in_batch_hours(h, d)
         parts = batch.unionByName(h.select(*C.HOUR_GROUP_KEYS, F.lit(0).alias("_w"), F.col(C.HEART_BEAT).alias("_hb")))
     return (parts.groupBy(*C.HOUR_GROUP_KEYS)
             .agg(F.sum("_w").alias("rec_count"), F.avg("_hb").alias("mean_hr"))

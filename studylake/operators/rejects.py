@@ -18,19 +18,48 @@ from studylake import constants as C
 from studylake import schemas
 
 ID_COLS = C.ALLOCATION_KEYS
+PARTIAL_KEYS = ["stage", "reject_reason", *ID_COLS, "group_id"]
 
 
 def reject_rows(resolved: DataFrame, stage: str, records_col: str | None = None) -> DataFrame:
     """Rejected rows of a resolved frame in the REJECTS shape."""
     r = resolved.filter(F.col("reject_reason").isNotNull())
     present = set(r.columns)
+    # An hourly group is one reject however many micro-batches of a run it meets (to_json keeps
+    # the names of the fields, so a NULL code cannot change places with its neighbour).
+    group = F.sha2(F.to_json(F.struct(*C.HOUR_GROUP_KEYS)), 256) if records_col else F.lit(None).cast("string")
     return r.select(
         F.lit(stage).alias("stage"), F.col("reject_reason"),
         *[(F.col(c) if c in present else F.lit(None)).cast("int").alias(c) for c in ID_COLS],
         (F.col(records_col).cast("long") if records_col else F.lit(1).cast("long")).alias("source_records"),
+        group.alias("group_id"),
     )
 
 
+def partial_rejects(rows: DataFrame) -> DataFrame:
+    """Row-level rejects counted per (stage, reason, ids, hourly group): what a micro-batch leaves
+    for the summary of its run.  ``n`` counts the rows (one per hourly group)."""
+    return rows.groupBy(*PARTIAL_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("source_records").alias("source_records"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """The run's REJECT_SUMMARY from the partial counts of its micro-batches.  Rows add up; an
+    hourly group met by several micro-batches counts once."""
+    p = partials.groupBy(*PARTIAL_KEYS).agg(
+        F.when(F.col("group_id").isNull(), F.sum("n")).otherwise(F.lit(1)).alias("n"),
+        F.sum("source_records").alias("source_records"))
+    out = p.groupBy("stage", "reject_reason", *ID_COLS).agg(
+        F.sum("n").alias("reccount"), F.sum("source_records").alias("source_records"))
+    return schemas.conform_to(out, schemas.REJECT_SUMMARY)
+
+
+def summary_allocation_errors(summary: DataFrame) -> DataFrame:
+    """:func:`allocation_errors` from a run's summary: allocation misses per ids."""
+    out = (summary.filter(F.col("reject_reason") == C.R_NO_ALLOCATION)
+           .groupBy(*ID_COLS).agg(F.sum("reccount").alias("reccount")))
+    return schemas.conform_to(out, schemas.ALLOCATION_ERRORS)
+
+
 def summarise_rejects(*row_rejects: DataFrame) -> DataFrame:
     """U-1 + A-5: one row per (stage, reason, ids)."""
     u = reduce(lambda a, b: a.unionByName(b), row_rejects)

@@ -337,4 +337,6 @@ late AS (SELECT * FROM refine WHERE day_p_col >= 16),""" + event_ctes("late") +
         UNION ALL SELECT 'd_datetime' FROM d_datetime UNION ALL SELECT 'd_allocation' FROM d_allocation
         UNION ALL SELECT 'd_eventtype' FROM d_eventtype UNION ALL SELECT 'd_aggtype' FROM d_aggtype) t GROUP BY 1"""),
     "incremental_load": q(passive_ctes(), f"SELECT {PASSIVE_SELECT} FROM p_site WHERE reject_reason IS NULL"),
+    "batch_load": q(passive_ctes(), f"SELECT {PASSIVE_SELECT} FROM p_site WHERE reject_reason IS NULL"),
+    "run_rejects": q(event_ctes() + "," + passive_ctes() + "," + REJECT_ROWS, REJECT_SUMMARY),
 }

@@ -1,59 +1,71 @@
 """The three jobs, each a handful of DataFrame plans (M-1, M-2, M-3).
 
-No step collects data to the driver: routing, key resolution, interval
-validation, re-aggregation, upsert and reject accounting are joins and
-aggregations that run on the executors.
+Routing, key resolution, interval validation, re-aggregation, upsert and reject
+accounting are joins and aggregations that run on the executors.  The driver
+collects row counts and two bounded key lists for pruning (hours and days of a
+batch; see ``operators/aggregate.py`` and ``sinks/warehouse.py``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studylake.dims import Dims
 from studylake.operators import facts
 from studylake.operators.normalise import accepted, normalise, rejected
-from studylake.operators.rejects import allocation_errors, reject_rows, summarise_rejects
+from studylake.operators.rejects import merge_partials, partial_rejects, reject_rows, summary_allocation_errors
 from studylake.sinks import warehouse
 from studylake.sinks.zones import write_conform, write_refine
 from studylake.sources.zones import read_refine
 
 
-# Observed counts of the last refine_and_conform run: records, accepted, rejected.
-LAST_RUN_METRICS: dict[str, int] = {}
-
-
 @dataclass
 class ZonePaths:
     refine: str
     conform: str
 
 
+@dataclass
+class Refined:
+    """One refined batch: accepted refine rows, row-level rejects of the stage, and the
+    counts (records, accepted, rejected).  Both frames read the persisted ``batch``."""
+    accepted: DataFrame
+    rejects: DataFrame
+    batch: DataFrame
+    metrics: dict[str, int] = field(default_factory=dict)
+
+    def unpersist(self) -> None:
+        self.batch.unpersist(blocking=True)
+
+
 def refine_and_conform(spark: SparkSession, raw: DataFrame, zones: ZonePaths,
-                       batch_tag: str | None = None) -> tuple[DataFrame, DataFrame]:
+                       batch_tag: str | None = None) -> Refined:
     """M-1: normalise a raw batch once and write refine and conform from it.
 
-    Returns (accepted refine rows, row-level rejects of this stage), both
-    persisted; the caller unpersists them.  The batch is normalised once
+    The caller unpersists the result; a failed write frees the batch itself.
+    The batch is normalised once
     (MEMORY_AND_DISK): both writes read the persisted rows, so raw is scanned
     once per run; a lost block is recomputed from the raw files.
     """
     n = normalise(raw)
-    # A-6: row counts of the run as observed metrics, collected by the first write (no extra job).
-    obs = Observation("refine")
-    n = n.observe(obs, F.count(F.lit(1)).alias("records"),
-                  F.count(F.when(F.col("reject_reason").isNull(), 1)).alias("accepted"),
-                  F.count(F.col("reject_reason")).alias("rejected"))
     n = n.persist(StorageLevel.MEMORY_AND_DISK)
     acc = accepted(n)
-    write_refine(acc, zones.refine, batch_tag)
-    write_conform(acc, zones.conform, batch_tag)
-    LAST_RUN_METRICS.clear()
-    LAST_RUN_METRICS.update(obs.get)
-    return acc, reject_rows(rejected(n), "refine")
+    try:
+        # A-6: row counts of the run.  They fill the persisted batch that both writes read; metrics
+        # observed by a write are lost when adaptive execution empties its plan.
+        counts = n.agg(F.count(F.lit(1)).alias("records"),
+                       F.count(F.when(F.col("reject_reason").isNull(), 1)).alias("accepted"),
+                       F.count(F.col("reject_reason")).alias("rejected")).first().asDict()
+        write_refine(acc, zones.refine, batch_tag)
+        write_conform(acc, zones.conform, batch_tag)
+    except BaseException:
+        n.unpersist(blocking=True)
+        raise
+    return Refined(acc, reject_rows(rejected(n), "refine"), n, counts)
 
 
 def init_warehouse(spark: SparkSession, root: str, dims: Dims) -> dict[str, str]:
@@ -62,31 +74,40 @@ def init_warehouse(spark: SparkSession, root: str, dims: Dims) -> dict[str, str]
 
 
 def load_facts(spark: SparkSession, delta: DataFrame, history: DataFrame | None, dims: Dims, root: str,
-               extra_rejects: DataFrame | None = None, append_only: bool = False) -> dict[str, DataFrame]:
+               extra_rejects: DataFrame | None = None, append_only: bool = False,
+               run: warehouse.RunRejects | None = None, batch_tag: str | None = None) -> dict[str, DataFrame]:
     """M-3: refine batch -> event fact (append), hourly fact (upsert), reject tables (overwrite).
 
     ``history`` is the refine zone including ``delta`` (heart-rate means are
-    recomputed over it for the hours the batch touches).
+    recomputed over it for the hours the batch touches).  With ``run`` and
+    ``batch_tag`` the batch is one micro-batch of a run, and the reject tables
+    hold the run's rejects so far; without, they hold the batch's.
     """
     ev = facts.resolve_events(delta, dims).persist(StorageLevel.MEMORY_AND_DISK)
-    pv = facts.resolve_passive(delta, dims, history).persist(StorageLevel.MEMORY_AND_DISK)
+    pv = None
     try:
+        pv = facts.resolve_passive(delta, dims, history).persist(StorageLevel.MEMORY_AND_DISK)
         warehouse.append_events(spark, root, facts.event_fact(ev), dedup=not append_only)
         warehouse.upsert_passive(spark, root, facts.passive_fact(pv))
         rows = reject_rows(ev, "event").unionByName(reject_rows(pv, "passive", "rec_count"))
         if extra_rejects is not None:
             rows = rows.unionByName(extra_rejects)
-        warehouse.overwrite_table(root, "rejects", summarise_rejects(rows))
-        warehouse.overwrite_table(root, "temp_allocation_error_records", allocation_errors(rows))
+        partials = partial_rejects(rows)
+        summary = merge_partials(partials) if run is None else run.summary(partials, batch_tag)
+        warehouse.overwrite_table(root, "rejects", summary)
+        warehouse.overwrite_table(root, "temp_allocation_error_records",
+                                  summary_allocation_errors(warehouse.read_table(spark, root, "rejects")))
     finally:
-        ev.unpersist()
-        pv.unpersist()
+        ev.unpersist(blocking=True)
+        if pv is not None:
+            pv.unpersist(blocking=True)
     return {name: warehouse.read_table(spark, root, name)
             for name in ("f_intentional", "f_passive", "rejects", "temp_allocation_error_records")}
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, zones: ZonePaths, dims: Dims, root: str,
-              append_only: bool = False, batch_tag: str | None = None) -> dict[str, DataFrame] | None:
+              append_only: bool = False, batch_tag: str | None = None,
+              run: warehouse.RunRejects | None = None) -> dict[str, DataFrame] | None:
     """M-1 then M-3 for one raw batch; an empty batch writes nothing (S-5).
 
     ``batch_tag`` (incremental loads) makes the zone writes replay-safe; see
@@ -95,9 +116,9 @@ def run_batch(spark: SparkSession, raw: DataFrame, zones: ZonePaths, dims: Dims,
     """
     if raw.isEmpty():
         return None
-    acc, refine_rejects = refine_and_conform(spark, raw, zones, batch_tag)
+    refined = refine_and_conform(spark, raw, zones, batch_tag)
     try:
         history = read_refine(spark, zones.refine)
-        return load_facts(spark, acc, history, dims, root, refine_rejects, append_only)
+        return load_facts(spark, refined.accepted, history, dims, root, refined.rejects, append_only, run, batch_tag)
     finally:
-        acc.unpersist()
+        refined.unpersist()

@@ -76,8 +76,9 @@ F_PASSIVE = _struct(
 ALLOCATION_ERRORS = _struct(("mobileid", I), ("studyid", I), ("subjectid", I), ("deviceid", I), ("reccount", L))
 REJECTS = _struct(
     ("stage", S), ("reject_reason", S), ("mobileid", I), ("studyid", I), ("subjectid", I), ("deviceid", I),
-    ("source_records", L),
+    ("source_records", L), ("group_id", S),
 )
+PARTIAL_REJECTS = T.StructType([*REJECTS.fields, T.StructField("n", L)])
 REJECT_SUMMARY = _struct(
     ("stage", S), ("reject_reason", S), ("mobileid", I), ("studyid", I), ("subjectid", I), ("deviceid", I),
     ("reccount", L), ("source_records", L),

@@ -70,6 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     if not sc.getCheckpointDir():
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="studylake-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -11,7 +11,9 @@ only reads and rewrites the days it touches:
   folders are rewritten (dynamic partition overwrite).  The merged rows are
   checkpointed into the session's shared checkpoint folder first, which cuts
   the lineage to the files being replaced;
-* the reject tables (K-6) are overwritten, also when empty.
+* the reject tables (K-6) are overwritten, also when empty, with the rejects of
+  the whole run: each micro-batch leaves its partial counts in a folder of its
+  own (:class:`RunRejects`), and the tables are the sum over the run's folders.
 
 Fact writes carry a REBALANCE hint on ``capture_date``: adaptive execution
 sizes the files of each day folder and splits a hot day over several tasks.
@@ -27,6 +29,7 @@ from studylake import constants as C
 from studylake import schemas
 from studylake.dims import Dims
 from studylake.operators.facts import EVENT_KEY
+from studylake.operators.rejects import merge_partials
 from studylake.session import shared_dir
 
 FACT_PARTITION = "capture_date"
@@ -147,6 +150,37 @@ def upsert_passive(spark: SparkSession, root: str, fact: DataFrame) -> None:
      .partitionBy(FACT_PARTITION).parquet(path))
 
 
+class RunRejects:
+    """The partial reject counts of one run, one folder per micro-batch (K-6, M-6).
+
+    ``key`` names the load (its checkpoint), so loads that share a warehouse keep apart.  A replayed
+    micro-batch overwrites its own folder.  :meth:`begin` drops the previous run's folders if that
+    run completed; a run that broke off is continued by the next one, whose micro-batches add to it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str):
+        self.spark, self.path = spark, f"{root.rstrip('/')}/reject_batches/{key}"
+        self._done = self._hadoop(f"{self.path}/_completed")
+        self._fs = self._done.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _hadoop(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def begin(self) -> "RunRejects":
+        if self._fs.exists(self._done):
+            self._fs.delete(self._hadoop(self.path), True)
+        return self
+
+    def complete(self) -> None:
+        if self._fs.exists(self._hadoop(self.path)):
+            self._fs.create(self._done, True).close()
+
+    def summary(self, partials: DataFrame, tag: str) -> DataFrame:
+        """Leave one micro-batch's partial counts and return the summary of the run so far."""
+        _write_static(schemas.conform_to(partials, schemas.PARTIAL_REJECTS), f"{self.path}/{C.LOAD_BATCH}={tag}")
+        return merge_partials(self.spark.read.schema(schemas.PARTIAL_REJECTS).parquet(self.path))
+
+
 def overwrite_table(root: str, name: str, df: DataFrame) -> None:
     """K-6: replace a table's content (an empty frame empties it)."""
     _write_static(schemas.conform_to(df, schemas.FACTS[name]), table_path(root, name))

@@ -23,16 +23,16 @@ def _rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _write_zone(df: DataFrame, path: str, partitions: list[str], batch_tag: str | None) -> None:
-    """Append, or with ``batch_tag`` write into a last ``load_batch=<tag>`` folder level with
-    dynamic partition overwrite: a replayed micro-batch then replaces its own files instead of
-    adding them twice (exactly-once zones under retries)."""
+    """Append, or with ``batch_tag`` replace the batch's own root folder ``load_batch=<tag>``:
+    a replayed micro-batch then replaces its files instead of adding them twice (exactly-once
+    zones under retries).  The overwrite is static and of that one folder, so its commit costs
+    no more than an append's; other batches' folders are never touched."""
+    w = _rebalanced(df, partitions).write.partitionBy(*partitions)
     if batch_tag is None:
-        _rebalanced(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
+        w.mode("append").parquet(path)
         return
-    parts = partitions + [C.LOAD_BATCH]
-    tagged = df.withColumn(C.LOAD_BATCH, F.lit(str(batch_tag)))
-    (_rebalanced(tagged, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
+    (w.mode("overwrite").option("partitionOverwriteMode", "static")
+     .parquet(f"{path.rstrip('/')}/{C.LOAD_BATCH}={batch_tag}"))
 
 
 def write_refine(refine: DataFrame, path: str, batch_tag: str | None = None) -> None:

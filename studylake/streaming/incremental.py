@@ -9,17 +9,22 @@ needed because no streaming state is kept; the state is the warehouse.
 
 A replayed micro-batch (crash between the writes and the checkpoint commit)
 is harmless for the facts: events are anti-joined on their business key, the
-hourly fact is an upsert and the reject tables are overwritten.
+hourly fact is an upsert, and the reject tables are summed from one folder per
+micro-batch, which a replay overwrites.  The reject tables describe a run: all
+micro-batches of an ``availableNow`` run (with those of a run before it that
+broke off), or one trigger of a run on a schedule.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from studylake.dims import Dims
 from studylake.plans.jobs import ZonePaths, load_facts, run_batch
+from studylake.sinks.warehouse import RunRejects
 from studylake.sources.raw import stream_raw
 from studylake.sources.zones import read_refine, stream_refine
 
@@ -36,6 +41,11 @@ def _finish(q, timeout_s: float | None) -> None:
         raise q.exception()
 
 
+def _run_key(checkpoint: str) -> str:
+    """A folder name for the load that this checkpoint belongs to."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: Dims, root: str,
                     checkpoint: str, max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
                     timeout_s: float | None = None, processing_time: str | None = None):
@@ -50,20 +60,27 @@ def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: D
     """
 
     fallback = uuid.uuid4().hex
+    run = RunRejects(spark, root, _run_key(checkpoint))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # The stream's id is kept in its checkpoint, so a replayed micro-batch gets the same tag
         # and overwrites its own zone folders; a new checkpoint gets new tags.
         qid = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or fallback
-        run_batch(batch.sparkSession, batch, zones, dims.fresh(), root, batch_tag=f"{qid}-{batch_id}")
+        if processing_time:  # a trigger on a schedule is a run of its own
+            run.begin()
+        run_batch(batch.sparkSession, batch, zones, dims.fresh(), root, batch_tag=f"{qid}-{batch_id}", run=run)
+        if processing_time:
+            run.complete()
 
     w = (stream_raw(spark, raw_dir, max_files_per_trigger).writeStream
          .foreachBatch(handle)
          .option("checkpointLocation", checkpoint))
     if processing_time:
         return w.trigger(processingTime=processing_time).start()
+    run.begin()
     q = w.trigger(availableNow=True).start()
     _finish(q, timeout_s)
+    run.complete()
 
 
 def refine_stream(spark: SparkSession, refine_dir: str) -> DataFrame:
@@ -76,16 +93,20 @@ def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root
     """M-3 on its own schedule: each run loads the facts from refine files written since the last
     run (S-4, R-1); heart-rate hours are recomputed over the whole refine zone (R-3)."""
 
+    run = RunRejects(spark, root, _run_key(checkpoint))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # S-5
             return
         s = batch.sparkSession
         delta = batch.persist()
         try:
-            load_facts(s, delta, read_refine(s, refine_dir), dims.fresh(), root)
+            load_facts(s, delta, read_refine(s, refine_dir), dims.fresh(), root, run=run, batch_tag=str(batch_id))
         finally:
             delta.unpersist()
 
+    run.begin()
     q = (refine_stream(spark, refine_dir).writeStream.foreachBatch(handle)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _finish(q, timeout_s)
+    run.complete()

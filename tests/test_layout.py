@@ -28,5 +28,5 @@ def test_tagged_write_replaces_its_own_folder(spark, tmp_dir):
     ref = accepted(normalise(raw_df(spark, [sensor(C.GYRO, "2024-01-05T10:20:00+0000")])))
     for _ in range(2):
         write_refine(ref, f"{tmp_dir}/r", batch_tag="q-3")
-    leaf = _local(f"{tmp_dir}/r/data_type_p_col=gyro/year_p_col=2024/month_p_col=1/day_p_col=5/hour_p_col=10/load_batch=q-3")
+    leaf = _local(f"{tmp_dir}/r/load_batch=q-3/data_type_p_col=gyro/year_p_col=2024/month_p_col=1/day_p_col=5/hour_p_col=10")
     assert len(glob.glob(f"{leaf}/*.parquet")) == 1

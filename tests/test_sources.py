@@ -47,8 +47,9 @@ def test_pk_and_fk_violations(spark):
 
 def test_observed_run_counts(spark, tmp_dir):
     raw = raw_df(spark, [sensor(C.GYRO, "2024-01-05T10:00:00+0000"), sensor(C.GYRO, "bad")])
-    jobs.refine_and_conform(spark, raw, ZonePaths(f"{tmp_dir}/r", f"{tmp_dir}/c"))
-    assert jobs.LAST_RUN_METRICS == {"records": 2, "accepted": 1, "rejected": 1}
+    refined = jobs.refine_and_conform(spark, raw, ZonePaths(f"{tmp_dir}/r", f"{tmp_dir}/c"))
+    refined.unpersist()
+    assert refined.metrics == {"records": 2, "accepted": 1, "rejected": 1}
 
 
 def test_facts_job_streams_from_refine(spark, tmp_dir):
