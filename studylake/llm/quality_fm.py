@@ -31,7 +31,9 @@ BITS = 14
 BINS = 12
 RANK = 6
 EPOCHS = 8
-BATCH = 256
+#: A small sample is gone through more often, until this many rows have been visited.
+VISITS = 60_000
+BATCH = 64
 RATE = 0.08
 DECAY = 1e-5
 WORD_WEIGHT = 0.5
@@ -87,7 +89,7 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     model = {"w0": np.array([np.log(share / (1 - share))]), "w": np.zeros(N_FEATURES), "v": rng.normal(0, 0.03, (N_FEATURES, RANK)), "cuts": cuts}
     gw, gv, g0 = np.full(N_FEATURES, 1e-3), np.full((N_FEATURES, RANK), 1e-3), 1e-3
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-VISITS // len(y)))):
         order = rng.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             pick = order[lo:lo + BATCH]
