@@ -5,10 +5,13 @@
    seeds.
 2. A first pass over the corpus counts, for each seed, the documents that hold
    it.  A seed is rare for its item if that count is at most RARE times the
-   median over the item's seeds: common phrases go, and at least half of every
-   item's seeds stay, however many copies the corpus holds.
-3. A second pass joins documents to items on the rare seeds and aligns the
-   item with the words around them (Smith-Waterman, linear gaps).  A document
+   median over the item's seeds that occur at all, so seeds that an edit has
+   destroyed everywhere do not count, and at least half of those that occur
+   are rare, however many copies the corpus holds.
+3. A second pass joins documents to items on the seeds.  A document that holds
+   a rare seed, or common ones at SHARE of the item's places, is aligned with
+   the item around them (Smith-Waterman, linear gaps); so common phrases alone
+   are not, but edited copies are, whatever else the corpus holds.  A document
    leaks an item if score / best possible score reaches MIN_SCORE.
 
 Items go to the tasks in blocks of at most BLOCK_SEEDS seeds, a size bound on
@@ -35,6 +38,8 @@ from studylake.llm.common import _U, NOT_ALPHANUMERIC, grams, small_batches, str
 
 N = 3
 RARE = 4
+#: Common seeds lead to an alignment from this share of the item's places on, and from two.
+SHARE = 0.1
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 #: Seeds of a block of items at most (16 bytes each in a task), and bits of the filter before the exact search.
@@ -84,23 +89,27 @@ class Seeds:
         text = np.searchsorted(first, at[some], side="right") - 1
         return g[some], text, at[some] - first[text], h, first
 
-    def rare(self, seed: np.ndarray, count: np.ndarray) -> Seeds:
-        """This block with each item's rare seeds only, from the documents that hold each seed."""
+    def weighed(self, seed: np.ndarray, count: np.ndarray) -> Seeds:
+        """This block with each item's rare seeds marked, from the documents that hold each seed; seeds in no document go."""
         n = np.zeros(len(self.seed))
         if len(seed):
             order = np.argsort(seed)
             seed, count = seed[order], count[order]
             k = np.minimum(np.searchsorted(seed, self.seed), len(seed) - 1)
             n = np.where(seed[k] == self.seed, count[k], 0)
-        keep = np.zeros(len(self.seed), dtype=bool)
-        order = np.argsort(self.item, kind="stable")
-        edge = np.searchsorted(self.item[order], np.arange(len(self.items) + 1))
+        held = n > 0
+        out = object.__new__(Seeds)
+        out.items, out.seed, out.item, out.place = self.items, self.seed[held], self.item[held], self.place[held]
+        n = n[held]
+        out.rare = np.zeros(len(n), dtype=bool)
+        order = np.argsort(out.item, kind="stable")
+        edge = np.searchsorted(out.item[order], np.arange(len(out.items) + 1))
         for lo, hi in zip(edge[:-1], edge[1:], strict=True):
             if hi > lo:
                 own = order[lo:hi]
-                keep[own] = n[own] <= RARE * np.median(n[own])
-        out = object.__new__(Seeds)
-        out.items, out.seed, out.item, out.place = self.items, self.seed[keep], self.item[keep], self.place[keep]
+                out.rare[own] = n[own] <= RARE * np.median(n[own])
+        places = np.array([max(1, len(h) - N + 1) for _, h in out.items])
+        out.least = np.maximum(2, np.ceil(SHARE * places))
         out._index()
         return out
 
@@ -133,8 +142,17 @@ def leaks(seeds: Seeds, column, min_score: float) -> list[list[tuple]]:
     entry = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     text, start = np.repeat(text, many), np.repeat(word, many) - seeds.place[entry]
     item = seeds.item[entry]
-    order = np.lexsort((start, item, text))
-    text, item, start = text[order], item[order], start[order]
+    order = np.lexsort((seeds.place[entry], item, text))
+    text, item, start, entry = text[order], item[order], start[order], entry[order]
+    if len(text):
+        new = np.r_[True, (text[1:] != text[:-1]) | (item[1:] != item[:-1])]
+        pair = np.cumsum(new) - 1
+        place = seeds.place[entry]
+        places = np.bincount(pair, new | np.r_[True, place[1:] != place[:-1]])
+        near = (np.bincount(pair, seeds.rare[entry]) > 0) | (places >= seeds.least[item[new]])
+        text, item, start = text[near[pair]], item[near[pair]], start[near[pair]]
+        order = np.lexsort((start, item, text))
+        text, item, start = text[order], item[order], start[order]
     i = 0
     while i < len(text):
         t, k = text[i], item[i]
@@ -177,7 +195,7 @@ def item_blocks(benchmark: DataFrame) -> list[list[tuple[int, np.ndarray]]]:
 
 
 def seed_counts(documents: DataFrame, seeds: Seeds) -> Seeds:
-    """``seeds`` cut to the rare ones, by a pass over all documents."""
+    """``seeds`` with the rare ones marked, by a pass over all documents."""
     def run(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 250):
@@ -187,7 +205,7 @@ def seed_counts(documents: DataFrame, seeds: Seeds) -> Seeds:
                 yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(n)], ["seed", "n"])
 
     got = documents.select("text").mapInArrow(run, "seed bigint, n bigint").groupBy("seed").agg(F.sum("n").alias("n")).collect()  # a row per seed of the block at most
-    return seeds.rare(np.array([r["seed"] for r in got], dtype=np.int64).view(_U), np.array([r["n"] for r in got], dtype=np.int64))
+    return seeds.weighed(np.array([r["seed"] for r in got], dtype=np.int64).view(_U), np.array([r["n"] for r in got], dtype=np.int64))
 
 
 def mark(documents: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

@@ -139,6 +139,19 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark):
     assert decontaminate.mark(docs.limit(0), bench).count() == 0
 
 
+def test_edited_copies_are_found_whatever_else_the_corpus_holds(spark):
+    rng = random.Random(12)
+    items = [(1, prose(rng, 40, 3000)), (2, prose(rng, 40, 3000))]
+
+    def edited(text: str, k: int) -> str:
+        return " ".join(f"new{i}x{k}" if i % 5 == 4 else w for i, w in enumerate(text.split()))
+
+    rows = [(1, edited(items[0][1], 0)), (2, items[1][1]), *[(10 + k, prose(rng, 50, 3000) + " " + edited(items[1][1], k)) for k in range(12)]]
+    rows += [(50 + k, prose(rng, 60, 3000) + " " + " ".join(items[0][1].split()[:4])) for k in range(12)]  # a common phrase only
+    got = {r["doc_id"]: {x["item_id"] for x in r["leaks"]} for r in decontaminate.mark(documents(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {1: {1}, 2: {2}} | {10 + k: {2} for k in range(12)} | {50 + k: set() for k in range(12)}
+
+
 def test_pages_keep_the_article_only(spark):
     page = ("<html><head><title>t</title><style>p {{}}</style></head><body><nav><a href='/'>Home</a> <a href='/b'>Contact</a></nav>"
             "<article><h1>Title {0}</h1><p>First &amp; {0}\n  paragraph of the text, long enough to be read as prose.</p><p>Second {0} paragraph, which also goes on for a while.</p></article>"
