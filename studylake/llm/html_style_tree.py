@@ -13,9 +13,12 @@ Branches of low importance are removed from every page.  Pages with the same
 content count once, so copies of an article do not make it look like a menu.
 Markup that says what a branch is comes first: navigation, page headers and
 footers, sidebars, notices, adverts, forms, comments, scripts and styles are
-unimportant, and where a page marks its main text (article, main) what lies
-outside is too.  The entropies decide the rest: unmarked branches outside,
-and nearly constant ones inside.
+unimportant, and where a page marks its main text (main, or articles with half
+of its text at least) what lies outside is too.  A class or id marks a branch
+only as a whole token ("sidebar", "site-footer", not "has-sidebar"), and never
+one that holds an article or main or, on a page without them, most of the
+text.  The entropies
+decide the rest: unmarked branches outside, and nearly constant ones inside.
 
 Statistics are plain aggregates by (host, node, text), so a hot host spreads
 by text.  The list of low nodes is joined to the pages by host; it has one row
@@ -57,6 +60,8 @@ NOISE_TAGS = _WORDS("head title script style noscript template nav footer aside
 NOISE_ROLES = _WORDS("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NOISE_NAMES = _WORDS("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay
 sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments respond disqus share sharing social related newsletter subscribe signup login widget toolbar pagination""".split())
+#: Words that may stand beside a noise word in a class or id ("site-footer"); any other makes it say something else ("no-comments").
+BESIDE = _WORDS("site page global main top bottom left right upper lower primary secondary mobile desktop box block bar area list section container wrapper wrap header cookie".split())
 CLOSES_P = _WORDS("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "optgroup": ("option", "optgroup"), "tbody": ("tr", "td", "th", "thead", "tbody"), "thead": (), "tfoot": ("tr", "td", "th", "tbody")}
@@ -68,34 +73,43 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "main", "children")
+    __slots__ = ("tag", "path", "noise", "main", "named", "marks", "children")
 
-    def __init__(self, tag: str, path: int, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main = tag, path, noise, main
+    def __init__(self, tag: str, path: int, noise: bool, main: int, named: bool = False, marks: tuple[int, ...] = ()):
+        self.tag, self.path, self.noise, self.main, self.named, self.marks = tag, path, noise, main, named, marks
         self.children: list[str] = []
 
 
-def _marks(tag: str, attributes: dict[str, str], inside: bool) -> tuple[bool, bool]:
-    """(noise, main) as the markup says."""
-    names = _WORDS(re.split(r"[^a-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+#: What a node says of its branch: nothing, an article, or the page's main text.
+PLAIN, ARTICLE, MAIN = 0, 1, 2
+
+
+def _says_noise(token: str) -> bool:
+    parts = [p for p in re.split(r"[-_]+", token) if p]
+    return any(p in NOISE_NAMES for p in parts) and all(p in NOISE_NAMES or p in BESIDE for p in parts)
+
+
+def _marks(tag: str, attributes: dict[str, str], inside: bool) -> tuple[bool, bool, int]:
+    """(noise, noise by its name only, main) as the markup says."""
+    names = _WORDS(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split())
     role = attributes.get("role", "").lower()
     if tag in ("html", "body"):
-        return False, False
+        return False, False, PLAIN
     if tag in NOISE_TAGS or role in NOISE_ROLES or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True, False
+        return True, False, PLAIN
     if tag == "main" or role == "main" or attributes.get("itemprop", "").lower() == "articlebody":
-        return False, True
+        return False, False, MAIN
     if tag == "article":
-        return bool(names & {"comment", "comments"}), True
-    if names & NOISE_NAMES or (not inside and (tag == "header" or "header" in names)):
-        return True, False
-    return False, False
+        return bool(names & {"comment", "comments"}), False, ARTICLE
+    named = any(map(_says_noise, names)) or (not inside and (tag == "header" or bool(names & {"header", "site-header", "page-header"})))
+    return False, named, PLAIN
 
 
-def blocks(page: str) -> tuple[list[tuple[str, Node, bool, bool]], list[Node]]:
-    """Text blocks of a page in order as (text, owner, noise, inside main), and all element nodes."""
-    root = Node("", 0, False, False)
+def blocks(page: str) -> tuple[list[tuple[str, Node, bool, int]], list[Node]]:
+    """Text blocks of a page in order as (text, owner, noise, main text that it is inside), and all element nodes."""
+    root = Node("", 0, False, PLAIN)
     stack, nodes, out = [root], [root], []
+    held: list[bool] = []  # of each branch marked by its name: holds an article or main
     text: list[str] = []
     known: dict[tuple, Node] = {}
 
@@ -104,7 +118,7 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, bool]], list[Node]]:
         text.clear()
         if joined:
             owner = next(n for n in reversed(stack) if n.tag not in INLINE)
-            out.append((joined, owner, owner.noise, owner.main))
+            out.append((joined, owner))
 
     def pop_to(k: int) -> None:
         if any(n.tag not in INLINE for n in stack[k:]):
@@ -155,13 +169,19 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, bool]], list[Node]]:
         parent.children.append(tag)
         if tag in VOID:
             continue
-        key = (parent.path, tag, m[2], parent.noise, parent.main)
+        key = (parent.path, tag, m[2], parent.noise, parent.main)  # marks are of the page's own branches
         seen = known.get(key)
         if seen is None:
             attributes = {a.lower(): b or c or d or "" for a, b, c, d in _ATTRIBUTE.findall(m[2])} if m[2] else {}
-            noise, main = _marks(tag, attributes, parent.main)
-            seen = known[key] = Node(tag, xxhash.xxh3_64_intdigest(f"{parent.path}>{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}") >> 1, parent.noise or noise, parent.main or main)
-        node = Node(tag, seen.path, seen.noise, seen.main)
+            noise, named, main = _marks(tag, attributes, bool(parent.main))
+            seen = known[key] = Node(tag, xxhash.xxh3_64_intdigest(f"{parent.path}>{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}") >> 1, parent.noise or noise, max(parent.main, main), named)
+        node = Node(tag, seen.path, seen.noise, seen.main, seen.named, parent.marks)
+        if seen.named and not seen.noise:
+            node.marks += (len(held),)
+            held.append(False)
+        elif seen.main > parent.main and not seen.noise:
+            for k in parent.marks:
+                held[k] = True
         nodes.append(node)
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
@@ -170,7 +190,24 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, bool]], list[Node]]:
         if not (m[2].rstrip().endswith("/") and tag in ("svg", "path", "g")):
             stack.append(node)
     flush()
-    return out, nodes
+    size = [0] * len(held)
+    total = 0
+    for t, n in out:
+        if not n.noise:
+            total += len(t)
+            for k in n.marks:
+                size[k] += len(t)
+    elsewhere = any(n.main and not n.noise for _, n in out)  # then a branch without them may well be longer than a short article
+    gone = {k for k, h in enumerate(held) if not h and (elsewhere or 2 * size[k] <= total)}
+    for n in nodes:
+        n.noise = n.noise or any(k in gone for k in n.marks)
+    return [(t, n, n.noise, n.main) for t, n in out], nodes
+
+
+def _main_marked(texts: list[tuple[str, Node, bool, int]]) -> bool:
+    """Whether what lies outside the marked main text goes: not for an article that is a small part of the page."""
+    kept = [(len(t), main) for t, _, noise, main in texts if not noise]
+    return any(main == MAIN for _, main in kept) or 0 < sum(n for n, _ in kept) <= 2 * sum(n for n, main in kept if main)
 
 
 def _node_rows(pages: DataFrame) -> DataFrame:
@@ -182,7 +219,7 @@ def _node_rows(pages: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 texts, nodes = blocks(page or "")
-                named = {(n.path, main, xxhash.xxh3_64_intdigest(t) >> 1) for t, n, _, main in texts}
+                named = {(n.path, bool(main), xxhash.xxh3_64_intdigest(t) >> 1) for t, n, _, main in texts}
                 whole = xxhash.xxh3_64_intdigest("".join(map(str, sorted(v for _, _, v in named)))) >> 1
                 rows += [(host, p, main, 0, v, whole) for p, main, v in named]
                 owners = {p: main for p, main, _ in named}
@@ -221,7 +258,7 @@ def low_nodes(nodes: DataFrame) -> DataFrame:
 def main_text(page: str | None, low: frozenset[int] = frozenset()) -> str:
     """The page's text without unimportant branches: blocks joined by line ends."""
     texts, _ = blocks(page or "")
-    marked = any(main and not noise for _, _, noise, main in texts)
+    marked = _main_marked(texts)
     return "\n".join(t for t, n, noise, main in texts if not noise and (main or not marked) and n.path not in low)
 
 

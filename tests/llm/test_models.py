@@ -7,6 +7,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -162,3 +163,17 @@ def test_pages_keep_the_article_only(spark):
         assert got[i].split("\n")[-2:] == [f"First & {i} paragraph of the text, long enough to be read as prose.", f"Second {i} paragraph, which also goes on for a while."]
         assert not any(w in got[i] for w in ("Home", "Contact", "rights", "var x"))
     assert got[7] == "" and got[8] == "" and len(got) == 9
+
+
+BODY = "<p>A first paragraph that is long enough to be the page's text.</p><p>And a second one, which goes on for quite a while too.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="content has-sidebar"><article>{0}</article></div>', '<div class="no-comments">{0}</div>', '<div class="layout ad-free">{0}</div>', '<div id="page-with-nav"><main>{0}</main></div>',
+    '<article class="post comment-open">{0}</article>', '<div class="widget"><div>{0}</div></div>', '<div class="social"><article>{0}</article></div>',
+    '<div>{0}</div><article><h3>Another story</h3></article>',
+])
+def test_names_do_not_take_the_page_text_away(page):
+    text = html_style_tree.main_text('<div class="site-footer">Imprint</div><div class="ad">Buy now</div><ul id="main-menu"><li>Home</ul>' + page.format(BODY))
+    want = ["A first paragraph that is long enough to be the page's text.", "And a second one, which goes on for quite a while too."]
+    assert text.split("\n")[:2] == want and not any(w in text for w in ("Imprint", "Buy now", "Home"))
