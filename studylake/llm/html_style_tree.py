@@ -9,8 +9,9 @@ combines two entropies over the m different pages that hold the node:
   pages has entropy log_m n.  Texts that repeat all over a site score 0, texts
   of one page 1.
 
-Branches of low importance are removed from every page.  Pages with the same
-content count once, so copies of an article do not make it look like a menu.
+Branches of low importance are removed from every page.  Pages count as one if
+the blocks agree that their markup does not drop, so copies of an article do not
+make it look like a menu, whatever adverts or link lists surround it.
 Markup that says what a branch is comes first: navigation, page headers and
 footers, sidebars, notices, adverts, forms, comments, scripts and styles are
 unimportant, and where a page marks its main text (main, or articles with half
@@ -77,7 +78,11 @@ class Node:
 
     def __init__(self, tag: str, path: int, noise: bool, main: int, named: bool = False, marks: tuple[int, ...] = ()):
         self.tag, self.path, self.noise, self.main, self.named, self.marks = tag, path, noise, main, named, marks
-        self.children: list[str] = []
+        self.children: list[tuple[str, Node | None]] = []
+
+    def style(self) -> str:
+        """The tags of the children, without noise."""
+        return ",".join(tag for tag, n in self.children if n is None or not n.noise)
 
 
 #: What a node says of its branch: nothing, an article, or the page's main text.
@@ -166,8 +171,8 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, int]], list[Node]]:
         elif tag not in INLINE:
             flush()
         parent = stack[-1]
-        parent.children.append(tag)
         if tag in VOID:
+            parent.children.append((tag, None))
             continue
         key = (parent.path, tag, m[2], parent.noise, parent.main)  # marks are of the page's own branches
         seen = known.get(key)
@@ -183,6 +188,7 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, int]], list[Node]]:
             for k in parent.marks:
                 held[k] = True
         nodes.append(node)
+        parent.children.append((tag, node))
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
@@ -211,7 +217,10 @@ def _main_marked(texts: list[tuple[str, Node, bool, int]]) -> bool:
 
 
 def _node_rows(pages: DataFrame) -> DataFrame:
-    """(host, path, inside, kind, value, page): kind 0 has the texts of a node, kind 1 its style; equal pages have one ``page``."""
+    """(host, path, inside, kind, value, page): kind 0 has the texts of a node, kind 1 its style; equal pages have one ``page``.
+
+    Only of blocks that the markup keeps: the others go whatever their importance.
+    """
     schema = pa.schema([("host", pa.string()), ("path", pa.int64()), ("inside", pa.bool_()), ("kind", pa.int32()), ("value", pa.int64()), ("page", pa.int64())])
 
     def run(batches):
@@ -219,14 +228,15 @@ def _node_rows(pages: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 texts, nodes = blocks(page or "")
-                named = {(n.path, bool(main), xxhash.xxh3_64_intdigest(t) >> 1) for t, n, _, main in texts}
+                marked = _main_marked(texts)
+                named = {(n.path, bool(main), xxhash.xxh3_64_intdigest(t) >> 1) for t, n, noise, main in texts if not noise and (main or not marked)}
                 whole = xxhash.xxh3_64_intdigest("".join(map(str, sorted(v for _, _, v in named)))) >> 1
                 rows += [(host, p, main, 0, v, whole) for p, main, v in named]
                 owners = {p: main for p, main, _ in named}
                 styles: dict[int, list[str]] = defaultdict(list)
                 for n in nodes:
-                    if n.path in owners:
-                        styles[n.path].append(",".join(n.children))
+                    if n.path in owners and not n.noise:
+                        styles[n.path].append(n.style())
                 rows += [(host, p, owners[p], 1, xxhash.xxh3_64_intdigest("|".join(sorted(s))) >> 1, whole) for p, s in styles.items()]
                 rows += [(host, p, owners[p], 1, 0, whole) for p in owners.keys() - styles.keys()]
             cols = list(zip(*rows, strict=True)) or [[]] * len(schema)

@@ -177,3 +177,13 @@ def test_names_do_not_take_the_page_text_away(page):
     text = html_style_tree.main_text('<div class="site-footer">Imprint</div><div class="ad">Buy now</div><ul id="main-menu"><li>Home</ul>' + page.format(BODY))
     want = ["A first paragraph that is long enough to be the page's text.", "And a second one, which goes on for quite a while too."]
     assert text.split("\n")[:2] == want and not any(w in text for w in ("Imprint", "Buy now", "Home"))
+
+
+def test_versions_of_one_article_are_one_page(spark):
+    ad = '<div class="ad">Advert {0}</div>'
+    page = ("<nav>Menu <a>{0}</a></nav>{1}<article><h1>The title</h1>{1}<p>The only article of this host, held thirty times.</p></article><aside>Clock {0}</aside>")
+    rows = [(i, f"http://copies.example/{i}", page.format(i, ad.format(i) * (i % 3))) for i in range(30)]
+    plain = "<nav>Menu</nav>{1}<div><p>An article that is not marked, ten times with other adverts.</p></div>"
+    rows += [(100 + i, f"http://plain.example/{i}", plain.format(i, ad.format(i))) for i in range(10)]
+    got = {r["page_id"]: r["text"] for r in html_style_tree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: "The title\nThe only article of this host, held thirty times." for i in range(30)} | {100 + i: "An article that is not marked, ten times with other adverts." for i in range(10)}
