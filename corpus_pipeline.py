@@ -8,7 +8,8 @@ last return the columns of ``documents``, with the rows that they keep:
 1. quality: the factorisation machine's rejects (score below 0.3) go.
 2. near_duplicates: one document of each n-gram Jaccard group stays, the one
    with the smallest doc_id (five words a shingle, similarity 0.8 or more);
-   of rows that repeat a doc_id, the one whose text sorts first.
+   of a group's rows that repeat that doc_id, the one whose text sorts first.
+   Groups are of texts: a doc_id's text with no copy in its own group stays.
 3. decontaminate: documents that leak a benchmark item go.
 4. secrets: every span that the blob ledger's rules find is replaced by
    ``[kind]`` in the text, and n_chars follows; documents stay.
@@ -39,18 +40,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = ngram_jaccard.link(docs.select("doc_id", "text"), KEEP_SHINGLE, KEEP_NUM, KEEP_DEN)
-    gone = classes.where("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # repeated ids share a class: the first text of an id stays, found on hashes of the rows, not on the texts
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    twice = kept.where("doc_id is not null").select("doc_id", digest.alias("d")).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("d").alias("d")).where("n > 1")
+    hashed = docs.withColumn("__row", digest)
+    # other texts of a doc_id are in groups of their own, so rows go by id and text
+    classes = written(ngram_jaccard.text_classes(hashed.select("doc_id", "text", F.col("__row").alias("row")), KEEP_SHINGLE, KEEP_NUM, KEEP_DEN).distinct(), "text-classes")
+    gone = classes.where("low != doc_id").select("doc_id", F.col("row").alias("__row"))
+    kept = hashed.join(gone, ["doc_id", "__row"], "left_anti")
+    # of a group's rows that repeat an id the first text stays, found on hashes of the rows, not on the texts
+    twice = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     twice = written(twice, "repeated-ids")
     if twice.isEmpty():
-        return kept
-    again = kept.join(twice.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.coalesce(F.col("text"), F.lit(""))))
-    return kept.join(twice.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(again.withColumn("__n", first).where("__n = 1").drop("__n"))
+        return kept.select(*docs.columns)
+    again = (kept.join(twice, "doc_id", "left_semi")
+             .join(classes.select("doc_id", F.col("row").alias("__row"), F.col("class").alias("__class")), ["doc_id", "__row"], "left"))
+    first = F.row_number().over(Window.partitionBy("doc_id", "__class").orderBy(F.coalesce(F.col("text"), F.lit(""))))
+    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(again.withColumn("__n", first).where("__n = 1").select(*docs.columns))
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 A text's set holds the 64-bit hashes of its distinct n-word shingles.  Two
 texts link when ``den * |A & B| >= num * |A | B|``.  The steps:
 
-1. *Sets.*  Texts with one set (by a 128-bit digest) collapse to the smallest id.
+1. *Sets.*  Texts with one set (by a 128-bit digest) collapse to one numbered node.
 2. *Size bands.*  A link bounds both the sizes' ratio and the number of
    shingles in which two sets differ.  Inside a band of sizes, the hash space
    is cut into more parts than can differ, so two linked sets agree in a
@@ -20,7 +20,8 @@ texts link when ``den * |A & B| >= num * |A | B|``.  The steps:
    *Inside a tile*, pairs that pass the bound are counted exactly by searching
    sorted arrays.  A tile returns a spanning forest of its links and each
    member's number of links, never all pairs.
-6. Components over the forests give the classes.
+6. Components over the forests, and over the nodes that one doc_id holds, give
+   the classes.
 
 Edge cases: null or empty texts, and texts without words, have an empty set
 and link with nothing; a null doc_id has no component; rows that repeat a
@@ -179,11 +180,13 @@ def _sets_frame(documents: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 off = np.cumsum([0] + [len(k) for k in keys])
                 flat = np.concatenate(keys) if keys else np.zeros(0, dtype=_U)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()),
+                    *[part.column(c) for c in kept], pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.view(np.int64))),
-                    pa.array([signature(s) for s in sets], pa.binary())], ["doc_id", "n", "digest", "keys", "bitmap"])
+                    pa.array([signature(s) for s in sets], pa.binary())], [*kept, "n", "digest", "keys", "bitmap"])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, n bigint, digest binary, keys array<bigint>, bitmap binary")
+    kept = [c for c in ("doc_id", "row") if c in documents.columns]
+    return (documents.withColumn("doc_id", F.col("doc_id").cast("bigint")).select(*kept, "text")
+            .mapInArrow(run, f"doc_id bigint, {'row string, ' if 'row' in kept else ''}n bigint, digest binary, keys array<bigint>, bitmap binary"))
 
 
 def _arrays_frame(texts: DataFrame, n: int) -> DataFrame:
@@ -263,6 +266,7 @@ def _verified(tiles: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches):
         edges: list[tuple[int, int, int]] = []
         for t in groups(batches, "tile"):
+            t = t.take(np.unique(t["rep"].to_numpy(), return_index=True)[1])  # a text comes once for each row that repeats it with its doc_id
             rep, mult, side = (t[c].to_numpy() for c in ("rep", "mult", "side"))
             sets = [np.frombuffer(x.as_buffer(), dtype=_U) for x in t["shingles"].combine_chunks()]
             if (side == 0).all():
@@ -317,34 +321,58 @@ def tiles_of(members: DataFrame, num: int, den: int) -> DataFrame:
 
 def link(documents: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) per row of ``documents`` (doc_id, text)."""
+    rows, sets = _linked(documents, n, num, den, True)
+    return (rows.join(sets, "digest", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("low"))).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("links")).otherwise(F.lit(0)).alias("n_links")))
+
+
+def text_classes(documents: DataFrame, n: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(doc_id, row, class, low) per row of ``documents`` (doc_id, text, row) that can link: the class of its text, and the class's smallest doc_id.
+
+    Other texts of the same doc_id do not join classes.
+    """
+    rows, sets = _linked(documents, n, num, den, False)
+    return rows.where("n > 0 and doc_id is not null").join(sets, "digest").select("doc_id", "row", "class", "low")
+
+
+def _linked(documents: DataFrame, n: int, num: int, den: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, n, digest; row if given), and (digest, class, low, links) of every set; ``by_id``: sets of one doc_id are in one class."""
     small_batches(documents.sparkSession)
     rows = written(_sets_frame(documents, n, num, den), "jaccard-sets")
     some = rows.where("n > 0 and doc_id is not null")
-    reps = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult"), F.max("n").alias("n"))
-    keys = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys")).select("rep", F.explode("keys").alias("key"))
+    # doc: an id that holds the set, to find its text again; rep: the set's node, a number of its own, as an id may hold several sets
+    reps = written(some.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.count("*").alias("mult"), F.max("n").alias("n"))
+                   .withColumn("rep", F.monotonically_increasing_id()), "jaccard-reps")
+    keys = (some.groupBy("digest").agg(F.first("keys").alias("keys")).join(reps.select("digest", "rep"), "digest")
+            .select("rep", F.explode("keys").alias("key")))
     first = F.min("rep").over(Window.partitionBy("key").orderBy("rep").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     agree = keys.select("rep", first.alias("first")).where("rep != first").distinct()
     families = written(components(agree.select(F.col("rep").alias("src"), F.col("first").alias("dst"))), "jaccard-families")
     members = families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(reps, "rep")
-    placed = members.select("family", "rep", "n").groupBy("family", "rep").agg(F.max("n").alias("n"))
-    wanted = written(members.select("rep", "mult", "digest").join(tiles_of(placed, num, den), "rep"), "jaccard-tiles")
+    wanted = written(members.select("rep", "doc", "mult", "digest").join(tiles_of(members.select("family", "rep", "n"), num, den), "rep"), "jaccard-tiles")
     bitmaps = some.groupBy("digest").agg(F.max("n").alias("n"), F.first("bitmap").alias("bitmap"))
     meet = wanted.join(bitmaps, "digest").select("rep", "n", "bitmap", F.explode("tiles").alias("t")).select("t.tile", "t.side", "rep", "n", "bitmap")
     screened = _screened(meet, num, den).groupBy("rep").agg(F.collect_set("tile").alias("passed"))
-    wanted = wanted.join(screened, "rep").select("rep", "mult", "digest", F.filter("tiles", lambda t: F.array_contains("passed", t["tile"])).alias("tiles"))
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(wanted, "rep")
+    wanted = wanted.join(screened, "rep").select("rep", "doc", "mult", "digest", F.filter("tiles", lambda t: F.array_contains("passed", t["tile"])).alias("tiles"))
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc"), "text").join(wanted, "doc")
     arrays = _arrays_frame(texts, n)
     tiles = arrays.select("rep", "mult", "shingles", F.explode("tiles").alias("t")).select(F.col("t.tile").alias("tile"), F.col("t.side").alias("side"), "rep", "mult", "shingles")
     found = written(_verified(tiles, num, den), "jaccard-links")
-    classes = components(found.where("a != b").select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    edges = found.where("a != b").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    if by_id:
+        held = some.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo != hi").select("doc_id")
+        held = some.select("doc_id", "digest").join(held, "doc_id").join(reps.select("digest", "rep"), "digest").select("doc_id", "rep").distinct()
+        edges = edges.unionByName(held.join(held.groupBy("doc_id").agg(F.min("rep").alias("dst")), "doc_id").select(F.col("rep").alias("src"), "dst"))
+    classes = components(edges).select(F.col("node").alias("rep"), "component")
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    of_set = (reps.select("digest", "rep", "mult")
-              .join(classes.select(F.col("node").alias("rep"), "component"), "rep", "left").join(counts, "rep", "left")
-              .select("digest", F.coalesce("component", "rep").alias("in_class"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links")))
-    return (rows.drop("keys", "bitmap").join(of_set, "digest", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("in_class"))).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("links")).otherwise(F.lit(0)).alias("n_links")))
+    of_set = (reps.select("digest", "rep", "mult", "doc").join(classes, "rep", "left").join(counts, "rep", "left")
+              .select("digest", F.coalesce("component", "rep").alias("class"), "doc", "component",
+                      (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links")))
+    low = reps.join(classes, "rep").groupBy("component").agg(F.min("doc").alias("low"))
+    sets = of_set.join(low, "component", "left").select("digest", "class", F.coalesce("low", "doc").alias("low"), "links")
+    return rows.drop("keys", "bitmap"), sets
 
 
 def op8_bitmap_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
