@@ -36,7 +36,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studylake.llm.common import _U, components, grams, groups, mix, small_batches, string_buffers, table, words, written
@@ -347,8 +347,9 @@ def _linked(documents: DataFrame, n: int, num: int, den: int, by_id: bool) -> tu
                    .withColumn("rep", F.monotonically_increasing_id()), "jaccard-reps")
     keys = (some.groupBy("digest").agg(F.first("keys").alias("keys")).join(reps.select("digest", "rep"), "digest")
             .select("rep", F.explode("keys").alias("key")))
-    first = F.min("rep").over(Window.partitionBy("key").orderBy("rep").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    agree = keys.select("rep", first.alias("first")).where("rep != first").distinct()
+    # pre-aggregated before the shuffle, and a hot key's join can be split: no task sees a key's sets
+    first = keys.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first != last").select("key", "first")
+    agree = keys.join(first, "key").where("rep != first").select("rep", "first").distinct()
     families = written(components(agree.select(F.col("rep").alias("src"), F.col("first").alias("dst"))), "jaccard-families")
     members = families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(reps, "rep")
     wanted = written(members.select("rep", "doc", "mult", "digest").join(tiles_of(members.select("family", "rep", "n"), num, den), "rep"), "jaccard-tiles")

@@ -37,3 +37,14 @@ def test_near_duplicates_keep_a_text_of_each_group(spark):
     assert kept.columns == docs.columns
     got = sorted((r.doc_id, r.text or "") for r in kept.collect())
     assert got == sorted([(3, t["A"]), (5, t["B"]), (20, t["C"]), (30, t["D"]), (40, ""), (60, prose(random.Random(8), 100, 4000))])
+
+
+def test_equal_parts_meet_without_a_window(spark, monkeypatch):
+    plans = []
+    plain = ngram_jaccard.components
+    monkeypatch.setattr(ngram_jaccard, "components", lambda edges: plans.append(edges._jdf.queryExecution().executedPlan().toString()) or plain(edges))
+    rng = random.Random(6)
+    base = prose(rng, 200, 4000)
+    rows = [(i, changed(base, i)) for i in range(20)]
+    assert {r.component_id for r in ngram_jaccard.link(documents(spark, rows), 3, 90, 100).collect()} == {0}
+    assert plans and not any("Window" in p for p in plans)
