@@ -48,10 +48,19 @@ BASE_RULES = (
     SecretRule("access", 1, r"(AKIA[A-Z0-9]+)", 1, 16, True),
     SecretRule("hex", 1, r"([0-9a-f]{32,})", 1, 32, True),
 )
+# A private key's BEGIN line, with its body: header lines, then base64 up to the END line, else up to the end of the text,
+# else the long runs and a last short line of its own (prose follows).  Line ends may be escaped.  Repeats are possessive
+# (no recursion over long keys).
+_BEGIN, _END = "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", "-----END [A-Z ]{0,30}PRIVATE KEY-----"
+_SPACE = r"(?:\\[nr]|\s)"
+_HEADERS = rf"(?:{_SPACE}*+[A-Za-z][A-Za-z0-9-]*+:(?:(?!\\[nr])[^\r\n])*+)*+"
+_BASE64 = rf"(?:{_SPACE}|[A-Za-z0-9+/=])*+"
+_RUNS = rf"(?:{_SPACE}*+[A-Za-z0-9+/=]{{16,}}+)++(?:(?:\\[nr]|[\r\n])++[A-Za-z0-9+/=]++(?=\\[nr]|[\r\n]|\z))?+"
+KEY_BLOCK = rf"({_BEGIN}(?:{_HEADERS}{_BASE64}(?:{_END}|\z)|{_HEADERS}{_RUNS}|))"
 # Kinds that this method adds.
 MORE_RULES = (
     SecretRule("jwt", 1, r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 28),
-    SecretRule("private_key", 1, r"(-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----)", 1, 27),
+    SecretRule("private_key", 2, KEY_BLOCK, 1, 27),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -162,6 +171,10 @@ def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(scan_versions(docs, scratch_path(spark, "secret-ledger")))
 
 
+#: DuckDB's patterns have neither possessive repeats nor look-ahead: its SQL keeps the rule of version 1, the BEGIN line only.
+SQL_RULES = tuple(r._replace(pattern=rf"({_BEGIN})") if r.kind == "private_key" else r for r in RULES)
+
+
 def _sql_kind(rule: SecretRule, rank: int) -> str:
     pat = rule.pattern.replace("'", "''")
     return f"""select doc_id, {rank} as rank, '{rule.kind}' as kind, {str(rule.base).lower()} as base,
@@ -170,7 +183,7 @@ def _sql_kind(rule: SecretRule, rank: int) -> str:
 
 
 SQL = ("with d as (select row_number() over () as row_id, doc_id, coalesce(text, '') as text from documents),\n"
-       "s as (" + "\nunion all\n".join(f"select *, {r.least} as least from ({_sql_kind(r, k)})" for k, r in enumerate(RULES)) + """),
+       "s as (" + "\nunion all\n".join(f"select *, {r.least} as least from ({_sql_kind(r, k)})" for k, r in enumerate(SQL_RULES)) + """),
 k as (select doc_id, rank, kind, base, kind || ':' || cast(x.s as bigint) || ':' || cast(x.s + x.l as bigint) as span, x.s as start from s where x.g >= least),
 f as (select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
   string_agg(span, ',' order by start, rank) filter (base) as base_spans, string_agg(span, ',' order by start, rank) as spans from k group by 1)
