@@ -62,12 +62,26 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
+def unescaped(t: Column) -> Column:
+    """An attribute's value with &amp; and the numeric references of ASCII signs decoded, once."""
+    parts = F.split(t, r"&(?=amp;|#[0-9]{1,7};|#[xX][0-9A-Fa-f]{1,6};)", -1)
+
+    def sign(p: Column) -> Column:
+        digits, hexed = F.regexp_extract(p, r"^#([0-9]{1,7});", 1), F.regexp_extract(p, r"^#[xX]([0-9A-Fa-f]{1,6});", 1)
+        code = F.when(digits != "", digits.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
+        return (F.when(p.startswith("amp;"), F.concat(F.lit("&"), F.substring(p, 5, 2147483647)))
+                .when((code > 32) & (code < 127), F.concat(F.char(code), F.regexp_replace(p, "^[^;]*;", "")))
+                .otherwise(F.concat(F.lit("&"), p)))
+
+    return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), sign), ""))
+
+
 def page_links(html: Column, url: Column) -> Column:
-    """Absolute URLs that canonical links and refresh redirects of a page name."""
+    """Absolute URLs that canonical links and refresh redirects of a page name; tags may run over several lines."""
     tags = F.regexp_extract_all(html, F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))
-    canonical = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?i)^<link\b.*\brel\s*=\s*["']?canonical\b""")),
+    canonical = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?is)^<link\b.*\brel\s*=\s*["']?canonical\b""")),
                             lambda t: F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1))
-    refresh = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?i)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b""")),
+    refresh = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?is)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b""")),
                           lambda t: F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
     root = F.regexp_extract(url, r"^([^:]*://[^/?#]*)", 1)
     folder = F.regexp_extract(url, r"^([^:]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
@@ -78,7 +92,8 @@ def page_links(html: Column, url: Column) -> Column:
                 .when(t.startswith("/"), F.concat(root, t))
                 .otherwise(F.concat(folder, t)))
 
-    return F.transform(F.filter(F.concat(canonical, refresh), lambda t: F.length(t) > 0), absolute)
+    named = F.transform(F.concat(canonical, refresh), lambda t: F.when(t.contains("&"), unescaped(t)).otherwise(t))
+    return F.transform(F.filter(named, lambda t: F.length(t) > 0), absolute)
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, redirects: DataFrame | None = None) -> DataFrame:

@@ -146,3 +146,14 @@ def test_redact_leaves_no_key_material(spark):
     got = {r.doc_id: r.text for r in secret_ledger.redact(df, scratch_path(spark, "keys")).collect()}
     assert got == {i: want for i, (_, want) in enumerate(texts)}
     assert not any(line[:12] in t or "MzEfYyjiWA" in t for t in got.values())
+
+
+def test_links_over_lines_and_with_references(spark):
+    pages = [(1, "http://a.example.org/1", '<link\n rel="canonical"\r\n href="http://b.example.org/p?x=1&amp;y=2"\n>'),
+             (2, "http://b.example.org/p?x=1&y=2", "<meta\n http-equiv=refresh\n content='0;\n url=http&#58;&#x2f;&#X2F;evil.net/x'>"),
+             (3, "http://c.example.org/1", '<link rel=canonical href="http://b.example.org/p?x=1&#38;y=2">'),
+             (4, "http://d.example.org/1", '<link rel=canonical href="http://e.example.org/p?x=&amp;amp;&#233;&copy=1&#9999999;">'),
+             (5, "http://e.example.org/p?x=&amp;&#233;&copy=1&#9999999;", '<link rel=canonical href="http://evil.net/">'),
+             (6, "http://f.example.org/1", '<link\n rel="stylesheet"\n href="http://evil.net/x">')]
+    got = {r.page_id: r.verdict for r in url_redirects.judge(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}
