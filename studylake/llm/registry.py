@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studylake.llm import ann_multiprobe, bpe_chunks, decontaminate, html_style_tree, ngram_jaccard, quality_fm, secret_ledger, token_attribution, toxicity_ordinal, url_redirects
+from studylake.llm import ann_multiprobe, bpe_chunks, decontaminate, html_style_tree, ngram_jaccard, quality_fm, secret_ledger, token_attribution, toxicity_ordinal, url_redirects, vector_codes
 
 QUERIES = {
     "op1_offset_attribution": token_attribution.op1_offset_attribution,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_bitmap_tiles": ngram_jaccard.op8_bitmap_tiles,
     "op9_chunk_reuse": bpe_chunks.op9_chunk_reuse,
     "op10_blob_ledger": secret_ledger.op10_blob_ledger,
+    "op13_ball_kmeans": vector_codes.op13_ball_kmeans,
 }
 
 ORACLE = {
     "op3_redirect_equivalence": url_redirects.SQL,
     "op8_bitmap_tiles": ngram_jaccard.SQL,
     "op10_blob_ledger": secret_ledger.SQL,
+    "op13_ball_kmeans": vector_codes.SQL,
 }
