@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from studylake.llm import ann_multiprobe, bpe_chunks, conversation_repair, decontaminate, html_style_tree, ngram_jaccard, quality_fm, secret_ledger, token_attribution, toxicity_ordinal, url_redirects, vector_codes
+from studylake.llm import ann_multiprobe, bpe_chunks, chat_parts, conversation_repair, decontaminate, html_style_tree, ngram_jaccard, quality_fm, secret_ledger, token_attribution, toxicity_ordinal, url_redirects, vector_codes
 
 QUERIES = {
     "op1_offset_attribution": token_attribution.op1_offset_attribution,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bitmap_tiles": ngram_jaccard.op8_bitmap_tiles,
     "op9_chunk_reuse": bpe_chunks.op9_chunk_reuse,
     "op10_blob_ledger": secret_ledger.op10_blob_ledger,
+    "op11_typed_parts": chat_parts.op11_typed_parts,
     "op12_four_russians": conversation_repair.op12_four_russians,
     "op13_ball_kmeans": vector_codes.op13_ball_kmeans,
 }
@@ -23,6 +24,7 @@ ORACLE = {
     "op3_redirect_equivalence": url_redirects.SQL,
     "op8_bitmap_tiles": ngram_jaccard.SQL,
     "op10_blob_ledger": secret_ledger.SQL,
+    "op11_typed_parts": chat_parts.SQL,
     "op12_four_russians": conversation_repair.SQL,
     "op13_ball_kmeans": vector_codes.SQL,
 }
