@@ -21,6 +21,7 @@ from studylake import schemas
 from studylake.dims import Dims
 from studylake.plans.jobs import ZonePaths, init_warehouse, load_facts, refine_and_conform
 from studylake.session import apply_conf, build_session
+from studylake.sinks import warehouse
 from studylake.sinks.warehouse import read_dims
 from studylake.sources.raw import read_raw
 from studylake.sources.zones import read_refine
@@ -70,7 +71,8 @@ def main(argv: list[str] | None = None) -> None:
             run_incremental_facts(spark, a.refine, dims, a.warehouse, a.since_checkpoint)
         else:
             refine = read_refine(spark, a.refine)
-            load_facts(spark, refine, refine, dims, a.warehouse)
+            warehouse.snapshots(spark, a.warehouse, warehouse.STATE).drop()  # the whole zone is loaded anew
+            load_facts(spark, refine, None, dims, a.warehouse, batch_tag="zone")
     else:
         run_incremental(spark, a.raw, ZonePaths(a.refine, a.conform), read_dims(spark, a.warehouse), a.warehouse,
                         a.checkpoint)

@@ -20,10 +20,10 @@ from studylake.functions.columns import trim_strings
 from studylake.functions.times import calendar_parts, parse_raw_time
 from studylake.operators import facts
 from studylake.operators.aggregate import affected_hours, hourly_counts, hourly_heart_rate
-from studylake.operators.allocation import allocate_site
+from studylake.operators.allocation import allocate_site, disjoint_periods
 from studylake.operators.lookups import latest_code, preview, resolve_codes, resolve_time
 from studylake.operators.normalise import accepted, conform_partitions, legacy_type_frames, normalise
-from studylake.operators.quality import fk_violations, pk_violations
+from studylake.operators.quality import fk_violations, pk_violations, star_fk_violations, star_pk_violations
 from studylake.operators.rejects import allocation_errors, reject_rows, summarise_rejects
 from studylake.plans.jobs import ZonePaths, init_warehouse, load_facts, run_batch
 from studylake.session import apply_conf, scratch_path
@@ -31,6 +31,7 @@ from studylake.sinks import warehouse
 from studylake.sinks.zones import write_conform, write_per_type, write_refine, zone_profile
 from studylake.sources import adapter
 from studylake.sources.raw import read_raw
+from studylake.sources.zone_index import read_hours
 from studylake.sources.zones import read_conform, read_refine
 from studylake.streaming.incremental import run_incremental
 
@@ -214,6 +215,30 @@ def q_affected_hours(spark, sf_dir):
     return out.withColumn("mean_hr", r4("mean_hr"))
 
 
+def q_pruned_history(spark, sf_dir):
+    """The same, with the history in a zone of two batches, of which the index names the folders to read."""
+    _, ref = _prep(spark, sf_dir)
+    path = scratch_path(spark, "refine")
+    for tag, part in (("a", F.col(C.DAY_P) % 2 == 0), ("b", F.col(C.DAY_P) % 2 == 1)):
+        write_refine(ref.filter(part), path, tag)
+    delta = last_days(ref)
+    history = read_hours(spark, path, delta, [C.HEART_RATE])
+    return affected_hours(delta, history).withColumn("mean_hr", r4("mean_hr"))
+
+
+def q_crowded_segments(spark, sf_dir):
+    """Overlapping periods settled on two keys that hold all orders as periods (D-2, J-9)."""
+    apply_conf(spark)
+    key = F.col("o_orderkey")
+    day = F.col("o_orderdate").cast("date")
+    periods = adapter.table(spark, sf_dir, "orders").select(
+        key.alias("allocationid"), F.lit(1).alias("mobileid"), (F.col("o_custkey") % 25 + 1).alias("siteid"), (key % 2 + 1).alias("studyid"),
+        F.lit(1).alias("subjectid"), F.lit(1).alias("deviceid"), day.alias("startdate"),
+        F.when(key % 97 != 0, F.date_add(day, (key % 90).cast("int"))).alias("enddate"))
+    segs = disjoint_periods(schemas.conform_to(periods, schemas.D_ALLOCATION))
+    return segs.select(*C.ALLOCATION_KEYS, date_text("seg_start").alias("seg_start"), date_text("seg_end").alias("seg_end"), "siteid", "allocationid")
+
+
 EVENT_OUT = ["evtypid", "studyid", "siteid", "subjectid", "deviceid", "mobileid", "value"]
 PASSIVE_OUT = list(C.PASSIVE_KEYS)
 
@@ -316,6 +341,33 @@ def q_fk_violations(spark, sf_dir):
     return fk_violations(pv, refs)
 
 
+def _planted_keys(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with some rows repeated and some whose key is lost."""
+    return (df.unionByName(df.filter(F.col(key) % 3 == 1))
+            .unionByName(df.filter(F.col(key) % 5 == 2).withColumn(key, F.lit(None).cast("int"))))
+
+
+def _planted_refs(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with some rows again whose foreign keys all point nowhere."""
+    broken = df.filter(F.col("subjectid") % 7 == 3).withColumns({c: -F.col(c) - 1 for c, _ in schemas.FOREIGN_KEYS[name]})
+    return df.unionByName(broken)
+
+
+def q_star_pk_violations(spark, sf_dir):
+    _, ref = _prep(spark, sf_dir)
+    dims = _dims(spark, sf_dir)
+    tables = {**dict(dims.items()), "f_passive": facts.passive_fact(facts.resolve_passive(ref, dims))}
+    return star_pk_violations({name: _planted_keys(tables[name], keys[0]) for name, keys in schemas.PRIMARY_KEYS.items()})
+
+
+def q_star_fk_violations(spark, sf_dir):
+    _, ref = _prep(spark, sf_dir)
+    dims = _dims(spark, sf_dir)
+    tables = {**dict(dims.items()), "f_intentional": facts.event_fact(facts.resolve_events(ref, dims)),
+              "f_passive": facts.passive_fact(facts.resolve_passive(ref, dims))}
+    return star_fk_violations({**tables, **{name: _planted_refs(tables[name], name) for name in schemas.FOREIGN_KEYS}})
+
+
 def q_zone_profile(spark, sf_dir):
     _, ref = _prep(spark, sf_dir)
     p = zone_profile(ref)
@@ -357,11 +409,36 @@ def q_run_rejects(spark, sf_dir):
     run = warehouse.RunRejects(spark, root, "run").begin()
     second = F.pmod(F.xxhash64(C.MEASUREMENT_TIME, C.START_TIME), F.lit(2)) == 1
     for tag, part in (("0", ~second), ("1", second)):
-        load_facts(spark, ref.filter(part), ref, dims, root, run=run, batch_tag=tag)
+        load_facts(spark, ref.filter(part), None, dims, root, run=run, batch_tag=tag)
     run.complete()
     return warehouse.read_table(spark, root, "rejects")
 
 
+def q_rejects_withdrawn(spark, sf_dir):
+    """A run whose second micro-batch fills hours that the first one rejected for want of a measurement: the first
+    has all rows without heart rates, the second the rows of days 1-15 with them."""
+    _, ref = _prep(spark, sf_dir)
+    dims = _dims(spark, sf_dir)
+    root = scratch_path(spark, "wh_withdrawn")
+    run = warehouse.RunRejects(spark, root, "run").begin()
+    bare = ref.withColumn(C.HEART_BEAT, F.lit(None).cast("double"))
+    for tag, part in (("0", bare), ("1", ref.filter(F.col(C.DAY_P) <= 15))):
+        load_facts(spark, part, None, dims, root, run=run, batch_tag=tag)
+    run.complete()
+    return warehouse.read_table(spark, root, "rejects")
+
+
+def q_late_rows(spark, sf_dir):
+    """Hourly means from merged partial sums: groups split over two batches, the first batch replayed at the end."""
+    _, ref = _prep(spark, sf_dir)
+    dims = _dims(spark, sf_dir)
+    root = scratch_path(spark, "wh_late")
+    late = F.pmod(F.xxhash64(C.MEASUREMENT_TIME, C.START_TIME), F.lit(2)) == 1
+    for tag, part in (("0", ~late), ("1", late), ("0", ~late)):
+        load_facts(spark, ref.filter(part), None, dims, root, batch_tag=tag)
+    return _passive_out(warehouse.read_table(spark, root, "f_passive"))
+
+
 def q_batch_load(spark, sf_dir):
     """M-1 and M-3 as one batch job, apart from the stream."""
     raw, _ = _prep(spark, sf_dir)
@@ -404,6 +481,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_violations": q_fk_violations,
     "zone_profile": q_zone_profile,
     "static_dims": q_static_dims,
+    "star_pk_violations": q_star_pk_violations,
+    "star_fk_violations": q_star_fk_violations,
+    "pruned_history": q_pruned_history,
+    "crowded_segments": q_crowded_segments,
+    "late_rows": q_late_rows,
+    "rejects_withdrawn": q_rejects_withdrawn,
     "incremental_load": q_incremental_load,
     "run_rejects": q_run_rejects,
     "batch_load": q_batch_load,

@@ -2,19 +2,22 @@
 
 A batch's passive rows are grouped per (type, study, subject, watch, phone,
 year, month, day, hour).  Counts come from the batch; the heart-rate mean of
-a group comes from **all** refine history of that group, so a late reading
-re-opens its hour and the mean is recomputed.
-
-The source system ran one Spark job per heart-rate group.  Here it is one
-aggregation: batch rows (weight 1, no value) and the history rows of the
-batch's hours (weight 0, with value) are unioned and grouped once.  The
-grouping handles NULL codes natively (no text matching), partial aggregation
-collapses a hot group before the shuffle, and history is pruned to the
-batch's hour folders by an IN filter on the partition columns (static
-partition pruning: the scan lists only those folders).  The hour list is the
-distinct hours of the batch, and its length is checked (at most
-``MAX_PRUNE_HOURS``) before it is used; beyond it the same hours are kept by a
-semi-join, so the answer does not depend on the number of hours.
+a group comes from **all** readings of that group, so a late reading re-opens
+its hour and the mean is recomputed.  There are two ways to the same mean:
+
+* :func:`merged_hours`, used by the load: each batch leaves (sum, count) of
+  every heart-rate group it met (:func:`hour_partials`, the table
+  ``hour_state``), and a late batch adds its own to those of its hours.  The
+  refine history is not read.
+* :func:`affected_hours`, over the refine history itself.  Batch rows (weight 1,
+  no value) and the history rows of the batch's hours (weight 0, with value)
+  are unioned and grouped once.  History is cut to the batch's hours by a
+  semi-join; to read only their folders, take the history from
+  :func:`studylake.sources.zone_index.read_hours`.
+
+The source system ran one Spark job per heart-rate group.  Here either way is
+one aggregation.  The grouping handles NULL codes natively (no text matching),
+and partial aggregation collapses a hot group before the shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from studylake import constants as C
 from studylake.dims import Dims
+from studylake.functions.times import capture_date_of_hour
 
 HOUR_COLS = [C.YEAR_P, C.MONTH_P, C.DAY_P, C.HOUR_P]
 
@@ -45,25 +49,13 @@ def hourly_heart_rate(refine: DataFrame) -> DataFrame:
                                               F.count(F.lit(1)).alias("rec_count"))
 
 
-def hour_key(year=C.YEAR_P, month=C.MONTH_P, day=C.DAY_P, hour=C.HOUR_P) -> F.Column:
-    """One int per calendar hour, over partition columns only (usable as a partition filter)."""
-    return ((F.col(year) * 100 + F.col(month)) * 100 + F.col(day)) * 100 + F.col(hour)
-
-
-MAX_PRUNE_HOURS = 100_000  # 11 years of hours as a list of ints; beyond it a semi-join keeps the same rows
-
-
 def in_batch_hours(history: DataFrame, delta: DataFrame) -> DataFrame:
-    """History rows of the hours that the batch touches.  An hour with a NULL part is kept whole:
-    the grouping matches NULL parts, a list of keys does not."""
-    keyless = hour_key().isNull()
-    # distinct() first: partial aggregation cuts the batch to its hours before the exchange.
-    hours = delta.select(hour_key().alias("__hour")).where("__hour is not null").distinct()
-    keys = [r[0] for r in hours.limit(MAX_PRUNE_HOURS + 1).collect()]
-    if len(keys) <= MAX_PRUNE_HOURS:
-        return history.filter((hour_key().isin(keys) if keys else F.lit(False)) | keyless)
-    return (history.withColumn("__hour", hour_key()).filter(~keyless).join(hours, "__hour", "left_semi").drop("__hour")
-            .unionByName(history.filter(keyless)))
+    """History rows of the hours that the batch touches (null-safe: an hour with a NULL part matches its like)."""
+    wanted = delta.select(*[F.col(c).alias(f"__{c}") for c in HOUR_COLS]).distinct()
+    cond = F.lit(True)
+    for c in HOUR_COLS:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return history.join(wanted, cond, "left_semi")
 
 
 def affected_hours(delta: DataFrame, history: DataFrame | None, dims: Dims | None = None) -> DataFrame:
@@ -84,6 +76,34 @@ def affected_hours(delta: DataFrame, history: DataFrame | None, dims: Dims | Non
             .withColumn("rec_count", F.col("rec_count").cast("long")))
 
 
+def hour_partials(refine: DataFrame) -> DataFrame:
+    """R-3: mergeable state of the heart-rate groups of some rows: (group, state_date, hb_sum, hb_count).
+    Groups without a measurement add nothing and leave no row."""
+    hr = refine.filter((F.col(C.TYPE_P) == C.HEART_RATE) & F.col(C.HEART_BEAT).isNotNull())
+    return (hr.groupBy(*C.HOUR_GROUP_KEYS).agg(F.sum(C.HEART_BEAT).alias("hb_sum"), F.count(C.HEART_BEAT).alias("hb_count"))
+            .withColumn("state_date", capture_date_of_hour()))
+
+
+def partials_before(history: DataFrame, delta: DataFrame) -> DataFrame:
+    """State of the history rows that are not of ``delta``, which history contains: partials are subtracted, no rows compared."""
+    minus = hour_partials(delta).withColumns({"hb_sum": -F.col("hb_sum"), "hb_count": -F.col("hb_count")})
+    return (hour_partials(history).unionByName(minus).groupBy(*C.HOUR_GROUP_KEYS, "state_date")
+            .agg(F.sum("hb_sum").alias("hb_sum"), F.sum("hb_count").alias("hb_count")).filter(F.col("hb_count") > 0))
+
+
+def merged_hours(delta: DataFrame, state: DataFrame) -> DataFrame:
+    """J-11 from stored state: as :func:`affected_hours`, with ``state`` the partials of all *other* batches."""
+    batch = passive_rows(delta).groupBy(*C.HOUR_GROUP_KEYS).agg(
+        F.count(F.lit(1)).alias("rec_count"),
+        F.sum(F.when(F.col(C.TYPE_P) == C.HEART_RATE, F.col(C.HEART_BEAT))).alias("hb_sum"),
+        F.count(F.when(F.col(C.TYPE_P) == C.HEART_RATE, F.col(C.HEART_BEAT))).alias("hb_count"))
+    before = state.select(*C.HOUR_GROUP_KEYS, F.lit(0).cast("long").alias("rec_count"), "hb_sum", "hb_count")
+    return (batch.unionByName(before).groupBy(*C.HOUR_GROUP_KEYS)
+            .agg(F.sum("rec_count").alias("rec_count"), F.sum("hb_sum").alias("hb_sum"), F.sum("hb_count").alias("hb_count"))
+            .filter(F.col("rec_count") > 0)
+            .select(*C.HOUR_GROUP_KEYS, "rec_count", (F.col("hb_sum") / F.nullif(F.col("hb_count"), F.lit(0))).alias("mean_hr")))
+
+
 def passive_value(type_col: str = C.TYPE_P) -> F.Column:
     """P-14 / A-4: heart rate -> mean; accelerometer / gyro -> 1 when the hour has records; else 0."""
     t = F.col(type_col)

@@ -17,7 +17,7 @@ from studylake import constants as C
 from studylake import schemas
 from studylake.dims import Dims
 from studylake.functions.times import capture_date_of_hour
-from studylake.operators.aggregate import affected_hours, aggregation_type_name, passive_value
+from studylake.operators.aggregate import affected_hours, aggregation_type_name, merged_hours, passive_value
 from studylake.operators.allocation import allocate_site
 from studylake.operators.lookups import resolve_codes, resolve_time
 
@@ -72,7 +72,7 @@ def resolve_events(refine: DataFrame, dims: Dims) -> DataFrame:
     """
     ev = event_rows(schemas.conform_to(refine, schemas.REFINE))  # P-11: a missing severity is a typed NULL
     ev = ev.withColumn("value", event_value()).withColumn("capture_date", F.to_date(C.START_TIME))
-    bounded = dims.check_bounds()
+    bounded = dims.check_bounds(EVENT_DIMS)
     if all(bounded[d] for d in EVENT_DIMS):
         ev = allocate_site(resolve_codes(ev, dims, EVENT_IDS), dims, "capture_date")
     else:
@@ -92,19 +92,24 @@ def event_fact(resolved: DataFrame) -> DataFrame:
     return schemas.conform_to(resolved.filter(F.col("reject_reason").isNull()), schemas.F_INTENTIONAL)
 
 
-def resolve_passive(delta: DataFrame, dims: Dims, history: DataFrame | None = None) -> DataFrame:
+def resolve_passive(delta: DataFrame, dims: Dims, history: DataFrame | None = None, state: DataFrame | None = None) -> DataFrame:
     """M-5 without the write: hourly groups with ids, time, site, value and a reject reason.
 
-    ``history`` is the refine zone including ``delta``; None means the batch is the whole history.
+    The heart-rate means of the batch's hours are taken over ``state`` (partial sums of other batches, see
+    :func:`studylake.operators.aggregate.merged_hours`) or over ``history`` (the refine zone including ``delta``);
+    with neither, the batch is the whole history.
     """
-    groups = affected_hours(schemas.conform_to(delta, schemas.REFINE),
-                            None if history is None else schemas.conform_to(history, schemas.REFINE), dims)
+    delta = schemas.conform_to(delta, schemas.REFINE)
+    if state is not None:
+        groups = merged_hours(delta, state)
+    else:
+        groups = affected_hours(delta, None if history is None else schemas.conform_to(history, schemas.REFINE), dims)
     g = groups.withColumns({
         "agg_value": passive_value(),
         "aggtypename": aggregation_type_name(),
         "capture_date": capture_date_of_hour(),
     })
-    bounded = dims.check_bounds()
+    bounded = dims.check_bounds([*PASSIVE_DIMS, "d_datetime"])
     if all(bounded[d] for d in PASSIVE_DIMS):
         g = allocate_site(resolve_codes(g, dims, PASSIVE_IDS), dims, "capture_date")
     else:

@@ -21,13 +21,22 @@ ID_COLS = C.ALLOCATION_KEYS
 PARTIAL_KEYS = ["stage", "reject_reason", *ID_COLS, "group_id"]
 
 
+def group_id() -> F.Column:
+    """One text per hourly group (to_json keeps the names of the fields, so a NULL code cannot change places with its neighbour)."""
+    return F.sha2(F.to_json(F.struct(*C.HOUR_GROUP_KEYS)), 256)
+
+
+def accepted_groups(resolved: DataFrame) -> DataFrame:
+    """group_id of the hourly groups that load."""
+    return resolved.filter(F.col("reject_reason").isNull()).select(group_id().alias("group_id")).distinct()
+
+
 def reject_rows(resolved: DataFrame, stage: str, records_col: str | None = None) -> DataFrame:
     """Rejected rows of a resolved frame in the REJECTS shape."""
     r = resolved.filter(F.col("reject_reason").isNotNull())
     present = set(r.columns)
-    # An hourly group is one reject however many micro-batches of a run it meets (to_json keeps
-    # the names of the fields, so a NULL code cannot change places with its neighbour).
-    group = F.sha2(F.to_json(F.struct(*C.HOUR_GROUP_KEYS)), 256) if records_col else F.lit(None).cast("string")
+    # An hourly group is one reject however many micro-batches of a run it meets.
+    group = group_id() if records_col else F.lit(None).cast("string")
     return r.select(
         F.lit(stage).alias("stage"), F.col("reject_reason"),
         *[(F.col(c) if c in present else F.lit(None)).cast("int").alias(c) for c in ID_COLS],
@@ -42,12 +51,22 @@ def partial_rejects(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*PARTIAL_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("source_records").alias("source_records"))
 
 
+def _net(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*PARTIAL_KEYS).agg(F.sum("n").alias("n"), F.sum("source_records").alias("source_records")).filter(F.col("n") > 0)
+
+
+def retractions(before: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Signed counts that withdraw the rejects of hourly groups (``before``: the run's partial counts so far) that
+    have become acceptable, as by a measurement that came with a later micro-batch."""
+    known = _net(before.filter(F.col("group_id").isNotNull()))
+    return (known.join(accepted, "group_id", "left_semi")
+            .withColumns({"n": -F.col("n"), "source_records": -F.col("source_records")}))
+
+
 def merge_partials(partials: DataFrame) -> DataFrame:
-    """The run's REJECT_SUMMARY from the partial counts of its micro-batches.  Rows add up; an
-    hourly group met by several micro-batches counts once."""
-    p = partials.groupBy(*PARTIAL_KEYS).agg(
-        F.when(F.col("group_id").isNull(), F.sum("n")).otherwise(F.lit(1)).alias("n"),
-        F.sum("source_records").alias("source_records"))
+    """The run's REJECT_SUMMARY from the signed partial counts of its micro-batches.  Rows add up; an
+    hourly group met by several micro-batches counts once, one that was withdrawn not at all."""
+    p = _net(partials).withColumn("n", F.when(F.col("group_id").isNull(), F.col("n")).otherwise(F.lit(1)))
     out = p.groupBy("stage", "reject_reason", *ID_COLS).agg(
         F.sum("n").alias("reccount"), F.sum("source_records").alias("source_records"))
     return schemas.conform_to(out, schemas.REJECT_SUMMARY)

@@ -20,8 +20,8 @@ WITH ev AS (
     CASE WHEN event_id % 2 = 0 THEN 'meal_study' ELSE 'migraine_study' END AS study_type,
     'S' || CAST(user_id AS VARCHAR) AS subject_id,
     'model-' || CAST(user_id % 4 AS VARCHAR) AS device_model,
-    'P' || CAST(user_id % 5 AS VARCHAR) AS phone_unique_id,
-    'W' || CAST(user_id % 5 AS VARCHAR) AS watch_unique_id,
+    'P' || CAST(user_id % (SELECT count(*) FROM supplier) AS VARCHAR) AS phone_unique_id,
+    'W' || CAST(user_id % (SELECT count(*) FROM supplier) AS VARCHAR) AS watch_unique_id,
     CASE CAST(user_id % 3 AS INTEGER) WHEN 0 THEN 0 WHEN 1 THEN -360 ELSE 330 END AS off_min,
     CASE CAST(user_id % 3 AS INTEGER) WHEN 0 THEN '+0000' WHEN 1 THEN '-0600' ELSE '+0530' END AS off_txt
   FROM events
@@ -74,23 +74,23 @@ d_study AS (SELECT * FROM (VALUES (1, 'meal_study'), (2, 'migraine_study')) t(st
 d_sensor AS (SELECT * FROM (VALUES (1, 'accelerometer'), (2, 'gyro'), (3, 'heart_rate')) t(sensorid, sensorname)),
 d_eventtype AS (SELECT * FROM (VALUES (1, 'meal'), (2, 'migraine')) t(evtypid, evtypname)),
 d_aggtype AS (SELECT * FROM (VALUES (1, 'Average'), (2, 'Existence')) t(aggtypid, aggtypename)),
-d_device AS (SELECT CAST(s_suppkey + 1 AS INTEGER) AS deviceid, 'W' || CAST(s_suppkey AS VARCHAR) AS deviceuniqcd FROM supplier WHERE s_suppkey < 5),
-d_mobile AS (SELECT CAST(s_suppkey + 1 AS INTEGER) AS mobileid, 'P' || CAST(s_suppkey AS VARCHAR) AS mobileuniqcd FROM supplier WHERE s_suppkey < 5),
+d_device AS (SELECT CAST(s_suppkey + 1 AS INTEGER) AS deviceid, 'W' || CAST(s_suppkey AS VARCHAR) AS deviceuniqcd FROM supplier),
+d_mobile AS (SELECT CAST(s_suppkey + 1 AS INTEGER) AS mobileid, 'P' || CAST(s_suppkey AS VARCHAR) AS mobileuniqcd FROM supplier),
 d_site AS (SELECT CAST(n_nationkey + 1 AS INTEGER) AS siteid, n_name AS sitename FROM nation),
 alloc_base AS (
   SELECT c_custkey, c_nationkey, s.studyid, DATE '2024-01-01' + CAST(c_custkey % 10 AS INTEGER) AS start0
   FROM customer CROSS JOIN (VALUES (1), (2)) s(studyid)
 ),
 d_allocation AS (
-  SELECT CAST((c_custkey * 2 + studyid) * 2 AS INTEGER) AS allocationid, CAST(c_custkey % 5 + 1 AS INTEGER) AS mobileid,
+  SELECT CAST((c_custkey * 2 + studyid) * 2 AS INTEGER) AS allocationid, CAST(c_custkey % (SELECT count(*) FROM supplier) + 1 AS INTEGER) AS mobileid,
          CAST(c_nationkey + 1 AS INTEGER) AS siteid, CAST(studyid AS INTEGER) AS studyid,
-         CAST(c_custkey + 1 AS INTEGER) AS subjectid, CAST(c_custkey % 5 + 1 AS INTEGER) AS deviceid,
+         CAST(c_custkey + 1 AS INTEGER) AS subjectid, CAST(c_custkey % (SELECT count(*) FROM supplier) + 1 AS INTEGER) AS deviceid,
          start0 AS startdate, start0 + 14 AS enddate
   FROM alloc_base
   UNION ALL
-  SELECT CAST((c_custkey * 2 + studyid) * 2 + 1 AS INTEGER), CAST(c_custkey % 5 + 1 AS INTEGER),
+  SELECT CAST((c_custkey * 2 + studyid) * 2 + 1 AS INTEGER), CAST(c_custkey % (SELECT count(*) FROM supplier) + 1 AS INTEGER),
          CAST((c_nationkey + 1) % 25 + 1 AS INTEGER), CAST(studyid AS INTEGER),
-         CAST(c_custkey + 1 AS INTEGER), CAST(c_custkey % 5 + 1 AS INTEGER), start0 + 7, start0 + 20
+         CAST(c_custkey + 1 AS INTEGER), CAST(c_custkey % (SELECT count(*) FROM supplier) + 1 AS INTEGER), start0 + 7, start0 + 20
   FROM alloc_base WHERE c_custkey % 4 = 0
 ),
 cal_bounds AS (
@@ -221,6 +221,36 @@ def _ts(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
 
 
+#: Primary key of every table as SQL (one column but for the passive fact), and its rows.
+STAR_KEYS = {"d_site": ["siteid"], "d_subject": ["subjectid"], "d_mobile": ["mobileid"], "d_device": ["deviceid"], "d_sensor": ["sensorid"],
+             "d_study": ["studyid"], "d_datetime": ["timeid"], "d_allocation": ["allocationid"], "d_eventtype": ["evtypid"], "d_aggtype": ["aggtypid"],
+             "f_passive": ["aggtypid", "sensorid", "deviceid", "subjectid", "siteid", "studyid", "timeid", "mobileid"]}
+STAR_REFS = {"d_allocation": ["mobileid", "siteid", "studyid", "subjectid", "deviceid"],
+             "f_intentional": ["evtypid", "studyid", "siteid", "subjectid", "deviceid", "mobileid"],
+             "f_passive": ["aggtypid", "sensorid", "deviceid", "subjectid", "siteid", "studyid", "timeid", "mobileid"]}
+STAR_FACTS = event_ctes() + "," + passive_ctes() + """,
+f_intentional AS (SELECT * FROM e_site WHERE reject_reason IS NULL),
+f_passive AS (SELECT * FROM p_site WHERE reject_reason IS NULL)"""
+
+
+def _star_pk(table: str, keys: list[str]) -> str:
+    first, rest = keys[0], keys[1:]
+    text = " || ',' || ".join([f"COALESCE(CAST({first} AS VARCHAR), 'null')", *[f"CAST({k} AS VARCHAR)" for k in rest]])
+    cols = ", ".join(keys)
+    lost = ", ".join([f"CAST(NULL AS INTEGER) AS {first}", *rest])
+    return f"""SELECT '{table}' AS table_name, {text} AS key, count(*) AS rows FROM (
+      SELECT {cols} FROM {table} UNION ALL SELECT {cols} FROM {table} WHERE {first} % 3 = 1
+      UNION ALL SELECT {lost} FROM {table} WHERE {first} % 5 = 2) k
+      GROUP BY ALL HAVING count(*) > 1 OR bool_or({first} IS NULL)"""
+
+
+def _star_fk(table: str, col: str) -> str:
+    dim = next(d for d, k in STAR_KEYS.items() if k == [col])
+    return f"""SELECT '{table}.{col}' AS fk, CAST(v AS BIGINT) AS value, count(*) AS rows FROM (
+      SELECT {col} AS v FROM {table} UNION ALL SELECT -{col} - 1 FROM {table} WHERE subjectid % 7 = 3) k
+      WHERE v NOT IN (SELECT {col} FROM {dim}) GROUP BY ALL"""
+
+
 ORACLE: dict[str, str] = {
     "distinct_types": q("", "SELECT DISTINCT data_type FROM raw"),
     "route_and_prune": q("", f"""SELECT data_type, study_type, subject_id, watch_unique_id, phone_unique_id,
@@ -336,6 +366,24 @@ late AS (SELECT * FROM refine WHERE day_p_col >= 16),""" + event_ctes("late") +
         UNION ALL SELECT 'd_sensor' FROM d_sensor UNION ALL SELECT 'd_study' FROM d_study
         UNION ALL SELECT 'd_datetime' FROM d_datetime UNION ALL SELECT 'd_allocation' FROM d_allocation
         UNION ALL SELECT 'd_eventtype' FROM d_eventtype UNION ALL SELECT 'd_aggtype' FROM d_aggtype) t GROUP BY 1"""),
+    "star_pk_violations": q(STAR_FACTS, " UNION ALL ".join(_star_pk(t, k) for t, k in STAR_KEYS.items())),
+    "star_fk_violations": q(STAR_FACTS, " UNION ALL ".join(_star_fk(t, c) for t, cols in STAR_REFS.items() for c in cols)),
+    "pruned_history": q("""
+delta AS (SELECT * FROM refine WHERE event_date > (SELECT max(event_date) FROM refine) - 3),""" + passive_ctes("delta", "refine"),
+        f"SELECT {KEYS}, rec_count, round(mean_hr, 4) AS mean_hr FROM p_groups"),
+    "crowded_segments": """WITH p AS (
+        SELECT o_orderkey AS allocationid, CAST(o_custkey % 25 + 1 AS INTEGER) AS siteid, CAST(o_orderkey % 2 + 1 AS INTEGER) AS studyid,
+          CAST(o_orderdate AS DATE) AS s, CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER) ELSE DATE '9999-12-31' END AS e
+        FROM orders),
+      points AS (SELECT DISTINCT studyid, unnest([CAST(s AS DATE), CAST(e + 1 AS DATE)]) AS d FROM p),
+      segs AS (SELECT studyid, d, lead(d) OVER (PARTITION BY studyid ORDER BY d) AS nxt FROM points)
+      SELECT 1 AS mobileid, g.studyid, 1 AS subjectid, 1 AS deviceid, strftime(g.d, '%Y-%m-%d') AS seg_start, strftime(g.nxt - 1, '%Y-%m-%d') AS seg_end,
+        arg_max(p.siteid, p.allocationid) AS siteid, CAST(max(p.allocationid) AS INTEGER) AS allocationid
+      FROM segs g JOIN p ON p.studyid = g.studyid AND p.s <= g.d AND g.d <= p.e WHERE g.nxt IS NOT NULL GROUP BY g.studyid, g.d, g.nxt""",
+    "late_rows": q(passive_ctes(), f"SELECT {PASSIVE_SELECT} FROM p_site WHERE reject_reason IS NULL"),
+    "rejects_withdrawn": q("""
+both_batches AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS heart_beat_count) FROM refine UNION ALL SELECT * FROM refine WHERE day_p_col <= 15),""" +
+        event_ctes("both_batches") + "," + passive_ctes("both_batches") + "," + REJECT_ROWS, REJECT_SUMMARY),
     "incremental_load": q(passive_ctes(), f"SELECT {PASSIVE_SELECT} FROM p_site WHERE reject_reason IS NULL"),
     "batch_load": q(passive_ctes(), f"SELECT {PASSIVE_SELECT} FROM p_site WHERE reject_reason IS NULL"),
     "run_rejects": q(event_ctes() + "," + passive_ctes() + "," + REJECT_ROWS, REJECT_SUMMARY),

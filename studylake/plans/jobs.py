@@ -2,12 +2,13 @@
 
 Routing, key resolution, interval validation, re-aggregation, upsert and reject
 accounting are joins and aggregations that run on the executors.  The driver
-collects row counts and two bounded key lists for pruning (hours and days of a
-batch; see ``operators/aggregate.py`` and ``sinks/warehouse.py``).
+holds row counts and the lists of the folders to read (from the tables'
+manifests; see ``sinks/snapshots.py``).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from studylake.dims import Dims
 from studylake.operators import facts
+from studylake.operators.aggregate import hour_partials, partials_before
 from studylake.operators.normalise import accepted, normalise, rejected
-from studylake.operators.rejects import merge_partials, partial_rejects, reject_rows, summary_allocation_errors
+from studylake.operators.rejects import accepted_groups, merge_partials, partial_rejects, reject_rows, summary_allocation_errors
 from studylake.sinks import warehouse
 from studylake.sinks.zones import write_conform, write_refine
 from studylake.sources.zones import read_refine
@@ -78,22 +80,31 @@ def load_facts(spark: SparkSession, delta: DataFrame, history: DataFrame | None,
                run: warehouse.RunRejects | None = None, batch_tag: str | None = None) -> dict[str, DataFrame]:
     """M-3: refine batch -> event fact (append), hourly fact (upsert), reject tables (overwrite).
 
-    ``history`` is the refine zone including ``delta`` (heart-rate means are
-    recomputed over it for the hours the batch touches).  With ``run`` and
-    ``batch_tag`` the batch is one micro-batch of a run, and the reject tables
-    hold the run's rejects so far; without, they hold the batch's.
+    Heart-rate means of the batch's hours are taken over all readings loaded so far: the partial sums that
+    earlier batches left in the warehouse's ``hour_state`` plus the batch's own, which it leaves there in turn.
+    ``history`` (the refine zone including ``delta``) is read once in a warehouse's life: the first load puts
+    what the zone held before it into the state.  Without it the state starts empty.
+
+    ``batch_tag`` names the batch: a replay under the same tag replaces its own partial sums.  With ``run`` the
+    batch is one micro-batch of a run, and the reject tables hold the run's rejects so far; without, they hold
+    the batch's.
     """
+    tag = batch_tag or uuid.uuid4().hex
+    if history is not None and not warehouse.snapshots(spark, root, warehouse.STATE).exists():
+        warehouse.add_state(spark, root, partials_before(history, delta), "before")
     ev = facts.resolve_events(delta, dims).persist(StorageLevel.MEMORY_AND_DISK)
     pv = None
     try:
-        pv = facts.resolve_passive(delta, dims, history).persist(StorageLevel.MEMORY_AND_DISK)
+        state = warehouse.other_state(spark, root, delta, tag)
+        pv = facts.resolve_passive(delta, dims, state=state).persist(StorageLevel.MEMORY_AND_DISK)
         warehouse.append_events(spark, root, facts.event_fact(ev), dedup=not append_only)
         warehouse.upsert_passive(spark, root, facts.passive_fact(pv))
+        warehouse.add_state(spark, root, hour_partials(delta), tag)
         rows = reject_rows(ev, "event").unionByName(reject_rows(pv, "passive", "rec_count"))
         if extra_rejects is not None:
             rows = rows.unionByName(extra_rejects)
         partials = partial_rejects(rows)
-        summary = merge_partials(partials) if run is None else run.summary(partials, batch_tag)
+        summary = merge_partials(partials) if run is None else run.summary(partials, tag, accepted_groups(pv))
         warehouse.overwrite_table(root, "rejects", summary)
         warehouse.overwrite_table(root, "temp_allocation_error_records",
                                   summary_allocation_errors(warehouse.read_table(spark, root, "rejects")))

@@ -72,6 +72,9 @@ F_PASSIVE = _struct(
     ("obsid", L), ("aggtypid", I), ("sensorid", I), ("deviceid", I), ("subjectid", I), ("siteid", I),
     ("studyid", I), ("timeid", I), ("mobileid", I), ("agg_value", D), ("capture_date", DT),
 )
+# Partial heart-rate sums per hour group and load batch (R-3), kept per capture day.
+HOUR_STATE = _struct(*[(c, REFINE[c].dataType) for c in C.HOUR_GROUP_KEYS], (C.LOAD_BATCH, S), ("hb_sum", D), ("hb_count", L),
+                     ("state_date", DT))
 # Reference-shaped allocation error table, and our row-level reject account.
 ALLOCATION_ERRORS = _struct(("mobileid", I), ("studyid", I), ("subjectid", I), ("deviceid", I), ("reccount", L))
 REJECTS = _struct(

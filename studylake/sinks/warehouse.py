@@ -1,22 +1,23 @@
 """Warehouse tables on Parquet (K-4..K-8, M-2) and their readers.
 
-Layout: one folder per table under a warehouse root.  Dimensions are plain
-tables; the two facts are partitioned by ``capture_date`` so that a batch
-only reads and rewrites the days it touches:
+Dimensions are plain Parquet folders.  Facts, reject tables and the hourly
+state are versioned tables with a commit log
+(:class:`studylake.sinks.snapshots.SnapshotTable`); facts and state are
+partitioned by day, and a batch reads and replaces the days it touches only:
 
 * events (K-4) are appended after an anti-join against the batch's days, so a
   replayed batch adds nothing (D-12);
 * hourly aggregates (K-5) are upserted: the batch's rows replace rows with the
-  same eight ids, other rows of those days are kept, and only those days'
-  folders are rewritten (dynamic partition overwrite).  The merged rows are
-  checkpointed into the session's shared checkpoint folder first, which cuts
-  the lineage to the files being replaced;
+  same eight ids, other rows of those days go along into the new version;
+* the hourly state (R-3) is upserted per hour group and load batch, so a replay
+  replaces its own partials;
 * the reject tables (K-6) are overwritten, also when empty, with the rejects of
   the whole run: each micro-batch leaves its partial counts in a folder of its
   own (:class:`RunRejects`), and the tables are the sum over the run's folders.
 
-Fact writes carry a REBALANCE hint on ``capture_date``: adaptive execution
-sizes the files of each day folder and splits a hot day over several tasks.
+A write that breaks off at any point leaves the table as it was.  Fact writes
+carry a REBALANCE hint on the day: adaptive execution sizes the files of each
+folder and splits a hot day over several tasks.
 """
 
 from __future__ import annotations
@@ -24,47 +25,49 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from studylake import constants as C
 from studylake import schemas
 from studylake.dims import Dims
+from studylake.functions.times import capture_date_of_hour
 from studylake.operators.facts import EVENT_KEY
-from studylake.operators.rejects import merge_partials
-from studylake.session import shared_dir
+from studylake.operators.rejects import merge_partials, retractions
+from studylake.sinks.snapshots import SnapshotTable
 
 FACT_PARTITION = "capture_date"
+STATE, STATE_PARTITION = "hour_state", "state_date"
+STATE_KEY = [*C.HOUR_GROUP_KEYS, C.LOAD_BATCH]
 
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    schema = schemas.DIMENSIONS.get(name) or schemas.FACTS[name]
-    return spark.read.schema(schema).parquet(table_path(root, name))
+def snapshots(spark: SparkSession, root: str, name: str) -> SnapshotTable:
+    """The versioned table ``name`` of a warehouse: a fact, a reject table or the hourly state."""
+    if name == STATE:
+        return SnapshotTable(spark, table_path(root, name), schemas.HOUR_STATE, STATE_PARTITION)
+    schema = schemas.FACTS[name]
+    return SnapshotTable(spark, table_path(root, name), schema, FACT_PARTITION if FACT_PARTITION in schema.fieldNames() else None)
 
 
-def read_table_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The table with its declared schema (no inference, so an empty table reads as empty),
-    or None when the folder does not exist yet."""
-    try:
-        df = read_table(spark, root, name)
-        df.schema  # resolves the path
-        return df
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table with its declared schema; of a versioned table the newest commit."""
+    if name in schemas.DIMENSIONS:
+        return spark.read.schema(schemas.DIMENSIONS[name]).parquet(table_path(root, name))
+    table = snapshots(spark, root, name)
+    if not table.exists():
+        raise FileNotFoundError(f"{table.path} holds no table; create it with init_warehouse")
+    return table.read()
 
 
 def read_dims(spark: SparkSession, root: str) -> Dims:
     return Dims(**{name: read_table(spark, root, name) for name in schemas.DIMENSIONS})
 
 
-def _write_static(df: DataFrame, path: str, partition: str | None = None) -> None:
-    w = (df.hint("rebalance", partition) if partition else df).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "static")
-    (w.partitionBy(partition) if partition else w).parquet(path)
+def _write_static(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def init_warehouse(spark: SparkSession, root: str, dims: Dims) -> dict[str, str]:
@@ -74,80 +77,48 @@ def init_warehouse(spark: SparkSession, root: str, dims: Dims) -> dict[str, str]
     for name, df in dims.items():
         paths[name] = table_path(root, name)
         _write_static(schemas.conform_to(df, schemas.DIMENSIONS[name]), paths[name])
+    snapshots(spark, root, STATE).drop()
     for name, schema in schemas.FACTS.items():
         paths[name] = table_path(root, name)
-        part = FACT_PARTITION if FACT_PARTITION in schema.fieldNames() else None
-        _write_static(spark.createDataFrame([], schema), paths[name], part)
+        snapshots(spark, root, name).overwrite(spark.createDataFrame([], schema))
     return paths
 
 
-MAX_PRUNE_DAYS = 100_000  # 270 years of days; beyond it the day filter is a plain semi-join
-
-
-def _days_of(df: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of ``existing`` on the capture days present in ``df``.
-
-    The batch's distinct days (partial aggregation first; a few hundred per
-    year of data, at most ``MAX_PRUNE_DAYS``) become an IN filter on the
-    partition column, so the scan lists only those day folders (static
-    partition pruning).  Dynamic pruning cannot be relied on here: the batch
-    is usually persisted, and the optimizer does not look through a cached
-    relation for a selective predicate.
-    """
-    days = [r[0] for r in df.select(FACT_PARTITION).distinct().limit(MAX_PRUNE_DAYS + 1).collect()]
-    if len(days) > MAX_PRUNE_DAYS:
-        return existing.join(df.select(FACT_PARTITION).distinct(), FACT_PARTITION, "left_semi")
-    known = [d for d in days if d is not None]
-    cond = F.col(FACT_PARTITION).isin(known) if known else F.lit(False)
-    if len(known) < len(days):
-        cond = cond | F.col(FACT_PARTITION).isNull()
-    return existing.filter(cond)
-
-
 def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool = True) -> None:
     """K-4: append the event fact; with ``dedup`` rows already present (same business key) are skipped."""
-    path = table_path(root, "f_intentional")
+    table = snapshots(spark, root, "f_intentional")
     fact = schemas.conform_to(fact, schemas.F_INTENTIONAL)
     if dedup:
-        fact = fact.dropDuplicates(EVENT_KEY)
-        existing = read_table_or_none(spark, root, "f_intentional")
-        if existing is not None:
-            old = _days_of(fact, existing)
-            o = old.select(*[F.col(c).alias(f"__o_{c}") for c in EVENT_KEY])
-            cond = None
-            for c in EVENT_KEY:
-                e = F.col(c).eqNullSafe(F.col(f"__o_{c}"))
-                cond = e if cond is None else cond & e
-            fact = fact.join(o, cond, "left_anti")
-    fact.hint("rebalance", FACT_PARTITION).write.mode("append").partitionBy(FACT_PARTITION).parquet(path)
-
-
-def merge_passive(new: DataFrame, old: DataFrame | None) -> DataFrame:
-    """K-5 semantics: batch rows win on the eight-id key, other old rows stay.
-    In-batch duplicates of a key keep the highest value (deterministic)."""
+        table.append_new(fact.dropDuplicates(EVENT_KEY), EVENT_KEY)
+    else:
+        table.append(fact)
+
+
+def one_per_key(new: DataFrame) -> DataFrame:
+    """In-batch duplicates of a passive key keep the highest value (deterministic)."""
     new = schemas.conform_to(new, schemas.F_PASSIVE)
     new = (new.groupBy(*C.PASSIVE_KEYS, FACT_PARTITION).agg(F.max("agg_value").alias("agg_value"))
            .withColumn("obsid", F.xxhash64(*C.PASSIVE_KEYS)))
-    new = schemas.conform_to(new, schemas.F_PASSIVE)
-    if old is None:
-        return new
-    kept = old.join(new.select(*C.PASSIVE_KEYS), C.PASSIVE_KEYS, "left_anti")
-    return new.unionByName(schemas.conform_to(kept, schemas.F_PASSIVE))
+    return schemas.conform_to(new, schemas.F_PASSIVE)
 
 
 def upsert_passive(spark: SparkSession, root: str, fact: DataFrame) -> None:
-    """K-5: upsert the hourly fact; rewrites only the days present in ``fact``."""
-    path = table_path(root, "f_passive")
-    existing = read_table_or_none(spark, root, "f_passive")
-    if existing is None:
-        _write_static(merge_passive(fact, None), path, FACT_PARTITION)
-        return
-    new = schemas.conform_to(fact, schemas.F_PASSIVE)
-    old = _days_of(new, existing)
-    shared_dir(spark)
-    merged = merge_passive(new, old).checkpoint(eager=True)
-    (merged.hint("rebalance", FACT_PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(FACT_PARTITION).parquet(path))
+    """K-5: upsert the hourly fact; only the days present in ``fact`` are read and replaced."""
+    snapshots(spark, root, "f_passive").upsert(one_per_key(fact), C.PASSIVE_KEYS)
+
+
+def other_state(spark: SparkSession, root: str, delta: DataFrame, batch_tag: str) -> DataFrame:
+    """R-3: partial sums that other batches left for the days of ``delta`` (its own, of a run before a replay, are left out)."""
+    table = snapshots(spark, root, STATE)
+    days = delta.filter(F.col(C.TYPE_P) == C.HEART_RATE).select(capture_date_of_hour().alias(STATE_PARTITION))
+    folders = table.touched(days) if table.exists() else []
+    return table.read_folders(folders).filter(F.col(C.LOAD_BATCH) != batch_tag)
+
+
+def add_state(spark: SparkSession, root: str, partials: DataFrame, batch_tag: str) -> None:
+    """R-3: leave a batch's partial sums; a replay replaces them."""
+    own = schemas.conform_to(partials.withColumn(C.LOAD_BATCH, F.lit(batch_tag)), schemas.HOUR_STATE)
+    snapshots(spark, root, STATE).upsert(own, STATE_KEY)
 
 
 class RunRejects:
@@ -175,12 +146,36 @@ class RunRejects:
         if self._fs.exists(self._hadoop(self.path)):
             self._fs.create(self._done, True).close()
 
-    def summary(self, partials: DataFrame, tag: str) -> DataFrame:
-        """Leave one micro-batch's partial counts and return the summary of the run so far."""
-        _write_static(schemas.conform_to(partials, schemas.PARTIAL_REJECTS), f"{self.path}/{C.LOAD_BATCH}={tag}")
+    def _others(self, tag: str) -> DataFrame | None:
+        """Partial counts of the run's other micro-batches."""
+        schema = T.StructType([*schemas.PARTIAL_REJECTS.fields, T.StructField(C.LOAD_BATCH, T.StringType())])
+        try:
+            found = self.spark.read.schema(schema).parquet(self.path)
+            found.schema
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+        return found.filter(F.col(C.LOAD_BATCH) != tag).drop(C.LOAD_BATCH)
+
+    def summary(self, partials: DataFrame, tag: str, accepted: DataFrame | None = None) -> DataFrame:
+        """Leave one micro-batch's partial counts and return the summary of the run so far.
+
+        ``accepted`` (group_id) names the hourly groups that load with this micro-batch; where the run rejected
+        them before, signed counts take those rejects back."""
+        partials = schemas.conform_to(partials, schemas.PARTIAL_REJECTS)
+        before = None if accepted is None else self._others(tag)
+        if before is not None:
+            partials = partials.unionByName(schemas.conform_to(retractions(before, accepted), schemas.PARTIAL_REJECTS))
+        _write_static(partials, f"{self.path}/{C.LOAD_BATCH}={tag}")
         return merge_partials(self.spark.read.schema(schemas.PARTIAL_REJECTS).parquet(self.path))
 
 
 def overwrite_table(root: str, name: str, df: DataFrame) -> None:
     """K-6: replace a table's content (an empty frame empties it)."""
-    _write_static(schemas.conform_to(df, schemas.FACTS[name]), table_path(root, name))
+    snapshots(df.sparkSession, root, name).overwrite(schemas.conform_to(df, schemas.FACTS[name]))
+
+
+def compact(spark: SparkSession, root: str, target_bytes: int = 128 << 20) -> dict[str, int]:
+    """K-4, K-5: rewrite days of the facts whose files could be fewer; folders replaced per table."""
+    return {name: snapshots(spark, root, name).compact(target_bytes) for name in ("f_intentional", "f_passive")}

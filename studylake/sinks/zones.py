@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from studylake import constants as C
 from studylake import schemas
 from studylake.operators.normalise import conform_partitions
+from studylake.sources.zone_index import write_index
 
 
 def _rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -36,8 +37,10 @@ def _write_zone(df: DataFrame, path: str, partitions: list[str], batch_tag: str
 
 
 def write_refine(refine: DataFrame, path: str, batch_tag: str | None = None) -> None:
-    """Refine rows under type/year/month/day/hour folders (K-1)."""
-    _write_zone(schemas.conform_to(refine, schemas.REFINE), path, C.REFINE_PARTITIONS, batch_tag)
+    """Refine rows under type/year/month/day/hour folders (K-1), and their entries in the zone's index."""
+    rows = schemas.conform_to(refine, schemas.REFINE)
+    _write_zone(rows, path, C.REFINE_PARTITIONS, batch_tag)
+    write_index(rows, path, batch_tag)
 
 
 def write_conform(refine: DataFrame, path: str, batch_tag: str | None = None) -> None:

@@ -38,8 +38,14 @@ def _code(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def raw_records(events: DataFrame) -> DataFrame:
-    """Driver ``events`` -> raw study records (RAW schema, times as offset text)."""
+def gadget_count(supplier: DataFrame) -> Column:
+    """Number of watches, and of phones: one of each per supplier (keys from 0)."""
+    return supplier.agg(F.count(F.lit(1))).scalar()
+
+
+def raw_records(events: DataFrame, gadgets: Column) -> DataFrame:
+    """Driver ``events`` -> raw study records (RAW schema, times as offset text).  A user wears the watch and holds
+    the phone of their id modulo the number of gadgets."""
     mapping = F.create_map(*[x for kv in EVENT_TYPE_MAP.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     dt = mapping[F.col("event_type")]
     is_sensor = dt.isin(*C.SENSOR_TYPES)
@@ -56,8 +62,8 @@ def raw_records(events: DataFrame) -> DataFrame:
         C.STUDY_TYPE: F.when(F.col("event_id") % 2 == 0, F.lit("meal_study")).otherwise(F.lit("migraine_study")),
         C.SUBJECT_ID: _code("S", F.col("user_id")),
         C.DEVICE_MODEL: _code("model-", F.col("user_id") % 4),
-        C.PHONE_ID: _code("P", F.col("user_id") % 5),
-        C.WATCH_ID: _code("W", F.col("user_id") % 5),
+        C.PHONE_ID: _code("P", F.col("user_id") % gadgets),
+        C.WATCH_ID: _code("W", F.col("user_id") % gadgets),
         C.SOURCE_TYPE: F.when(is_sensor, F.lit("watch")).otherwise(F.lit("phone")),
         C.SYSTEM_NAME: F.when(is_sensor, F.lit("watch_os")).otherwise(F.lit("phone_os")),
         C.SYSTEM_VERSION: _code("1.", F.col("user_id") % 4),
@@ -95,7 +101,7 @@ def subject_dim(customer: DataFrame) -> DataFrame:
 def _gadget_dim(supplier: DataFrame, prefix: str, kind: str, schema) -> DataFrame:
     idc, name, typ, code = [f.name for f in schema.fields[:4]]
     return schemas.conform_to(
-        supplier.filter(F.col("s_suppkey") < 5).select(
+        supplier.select(
             (F.col("s_suppkey") + 1).alias(idc), F.col("s_name").alias(name), F.lit(kind).alias(typ),
             _code(prefix, F.col("s_suppkey")).alias(code),
         ),
@@ -119,7 +125,7 @@ def site_dim(nation: DataFrame) -> DataFrame:
     )
 
 
-def allocation_dim(customer: DataFrame, overlap: bool = True) -> DataFrame:
+def allocation_dim(customer: DataFrame, gadgets: Column, overlap: bool = True) -> DataFrame:
     """One 15-day period per (customer, study); with ``overlap`` every fourth customer
     also has a later, overlapping period at another site (exercises D-2)."""
     study = F.explode(F.array(*[F.lit(i) for i, _ in C.STUDY_SEED])).alias("studyid")
@@ -128,11 +134,11 @@ def allocation_dim(customer: DataFrame, overlap: bool = True) -> DataFrame:
     key = F.col("c_custkey")
     primary = base.select(
         ((key * 2 + F.col("studyid")) * 2).alias("allocationid"),
-        (key % 5 + 1).alias("mobileid"),
+        (key % gadgets + 1).alias("mobileid"),
         (F.col("c_nationkey") + 1).alias("siteid"),
         F.col("studyid"),
         (key + 1).alias("subjectid"),
-        (key % 5 + 1).alias("deviceid"),
+        (key % gadgets + 1).alias("deviceid"),
         start.alias("startdate"),
         F.date_add(start, 14).alias("enddate"),
     )
@@ -140,11 +146,11 @@ def allocation_dim(customer: DataFrame, overlap: bool = True) -> DataFrame:
     if overlap:
         extra = base.filter(key % 4 == 0).select(
             ((key * 2 + F.col("studyid")) * 2 + 1).alias("allocationid"),
-            (key % 5 + 1).alias("mobileid"),
+            (key % gadgets + 1).alias("mobileid"),
             ((F.col("c_nationkey") + 1) % 25 + 1).alias("siteid"),
             F.col("studyid"),
             (key + 1).alias("subjectid"),
-            (key % 5 + 1).alias("deviceid"),
+            (key % gadgets + 1).alias("deviceid"),
             F.date_add(start, 7).alias("startdate"),
             F.date_add(start, 20).alias("enddate"),
         )
@@ -174,10 +180,10 @@ def study_dims(spark: SparkSession, sf_dir: str, overlap: bool = True) -> Dims:
         d_eventtype=eventtype_dim(spark),
         d_aggtype=aggtype_dim(spark),
         d_site=site_dim(table(spark, sf_dir, "nation")),
-        d_allocation=allocation_dim(customer, overlap),
+        d_allocation=allocation_dim(customer, gadget_count(supplier), overlap),
         d_datetime=calendar_dim(table(spark, sf_dir, "events")),
     )
 
 
 def study_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_records(table(spark, sf_dir, "events"))
+    return raw_records(table(spark, sf_dir, "events"), gadget_count(table(spark, sf_dir, "supplier")))

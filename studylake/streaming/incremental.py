@@ -4,8 +4,9 @@ The file source with a checkpoint replaces the job bookmark: each run picks
 up exactly the raw files not seen before (``trigger(availableNow=True)``
 processes the backlog and stops).  Each micro-batch runs M-1 then M-3 inside
 ``foreachBatch``.  Late rows are never dropped: the hours they touch are
-recomputed over the whole refine history and upserted.  No watermark is
-needed because no streaming state is kept; the state is the warehouse.
+recomputed from the partial sums of all batches (``hour_state``) and upserted.
+No watermark is needed because no streaming state is kept; the state is the
+warehouse.
 
 A replayed micro-batch (crash between the writes and the checkpoint commit)
 is harmless for the facts: events are anti-joined on their business key, the
@@ -26,7 +27,7 @@ from studylake.dims import Dims
 from studylake.plans.jobs import ZonePaths, load_facts, run_batch
 from studylake.sinks.warehouse import RunRejects
 from studylake.sources.raw import stream_raw
-from studylake.sources.zones import read_refine, stream_refine
+from studylake.sources.zones import stream_refine
 
 
 DEFAULT_MAX_FILES_PER_TRIGGER = 5000
@@ -91,9 +92,10 @@ def refine_stream(spark: SparkSession, refine_dir: str) -> DataFrame:
 def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root: str, checkpoint: str,
                           timeout_s: float | None = None) -> None:
     """M-3 on its own schedule: each run loads the facts from refine files written since the last
-    run (S-4, R-1); heart-rate hours are recomputed over the whole refine zone (R-3)."""
+    run (S-4, R-1); heart-rate means add up over the batches by the warehouse's hourly state (R-3)."""
 
-    run = RunRejects(spark, root, _run_key(checkpoint))
+    run_key = _run_key(checkpoint)
+    run = RunRejects(spark, root, run_key)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # S-5
@@ -101,7 +103,7 @@ def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root
         s = batch.sparkSession
         delta = batch.persist()
         try:
-            load_facts(s, delta, read_refine(s, refine_dir), dims.fresh(), root, run=run, batch_tag=str(batch_id))
+            load_facts(s, delta, None, dims.fresh(), root, run=run, batch_tag=f"{run_key}-{batch_id}")
         finally:
             delta.unpersist()
 

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle (the driver's check, at sf0.001)."""
+"""Every core query against its DuckDB oracle (the driver's check, at sf0.001)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from studylake.catalog import QUERIES
+from studylake.oracle import ORACLE
 from tests.conftest import SF0001
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -27,11 +29,12 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_core_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF0001)
     srows = [tuple(r) for r in df.collect()]

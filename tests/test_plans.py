@@ -26,34 +26,24 @@ def test_passive_fact_lookups_are_broadcast(spark):
     assert plan.count("BroadcastHashJoin") >= 8
 
 
-def test_history_is_pruned_to_batch_hours(spark, tmp_dir):
+def test_history_is_scanned_once_and_cut_to_the_batch_hours_by_a_join(spark, tmp_dir):
     ref = accepted(normalise(adapter.study_raw(spark, SF0001)))
     write_refine(ref, tmp_dir)
     hist = read_refine(spark, tmp_dir)
-    delta = hist.filter(f"{C.DAY_P} >= 29")
-    out = affected_hours(delta.persist(), hist, adapter.study_dims(spark, SF0001))
-    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    text = out._jdf.queryExecution().explainString(mode)
-    filters = [line for line in text.split("\n") if line.startswith("PartitionFilters:") and "heart_rate" in line]
-    # The hour-key list is an IN / INSET filter on the partition columns of the history scan.
-    assert len(filters) == 1  # history is scanned once
-    assert all("year_p_col" in f and ("INSET" in f.upper() or " IN (" in f.upper()) for f in filters)
+    out = affected_hours(ref.filter(f"{C.DAY_P} >= 29"), hist, adapter.study_dims(spark, SF0001))
+    plan = _plan(out)
+    assert plan.count(tmp_dir.split("/")[-1]) == 1 and "LeftSemi" in plan
+    assert "INSET" not in plan.upper()  # no collected list of keys
 
 
-def test_fact_reads_are_pruned_to_batch_days(spark, tmp_dir):
-    from pyspark.sql import functions as F
-
-    from studylake import schemas
-    from studylake.sinks import warehouse
-    df = spark.range(300).select(F.col("id").alias("eventid"),
-                                 F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 30).cast("int"))
-                                 .alias("capture_date"))
-    warehouse.append_events(spark, tmp_dir, schemas.conform_to(df, schemas.F_INTENTIONAL), dedup=False)
-    late = df.filter(F.dayofmonth("capture_date") >= 28).persist()
-    old = warehouse._days_of(late, warehouse.read_table(spark, tmp_dir, "f_intentional"))
-    assert old.count() == 30
-    plan = old._jdf.queryExecution().executedPlan().toString()
-    assert "2024-01-28" in plan and "PartitionFilters" in plan
+def test_a_plan_counts_the_dimensions_that_it_uses_only(spark):
+    ref = accepted(normalise(adapter.study_raw(spark, SF0001)))
+    dims = adapter.study_dims(spark, SF0001)
+    plan = _plan(facts.resolve_events(ref, dims))
+    assert set(dims.row_counts) == set(facts.EVENT_DIMS)
+    assert plan.count("events.parquet") == 1  # the events are read once, the calendar not at all
+    facts.resolve_passive(ref, dims)
+    assert set(dims.row_counts) == {*facts.EVENT_DIMS, *facts.PASSIVE_DIMS, "d_datetime"}
 
 
 @pytest.mark.parametrize("name", ["passive_fact", "event_fact", "affected_hours", "reject_summary", "allocate_site"])

@@ -103,7 +103,7 @@ def test_no_batch_stays_persisted(spark, tmp_dir, monkeypatch):
     assert kept() == before
 
 
-def test_hours_outside_the_calendar_give_the_same_mean_with_and_without_dims(spark, monkeypatch):
+def test_hours_outside_the_calendar_give_the_same_mean_with_and_without_dims(spark):
     from studylake.operators import aggregate
     from studylake.operators.normalise import accepted, normalise
     from tests.fixtures import raw_df, sensor, small_dims
@@ -112,8 +112,6 @@ def test_hours_outside_the_calendar_give_the_same_mean_with_and_without_dims(spa
     rows = lambda dims: sorted(map(str, aggregate.affected_hours(ref, ref, dims).collect()))
     free = rows(None)
     assert rows(small_dims(spark)) == free and any("70.0" in r for r in free)
-    monkeypatch.setattr(aggregate, "MAX_PRUNE_HOURS", 1)
-    assert rows(small_dims(spark)) == free
 
 
 def test_a_cluster_without_a_shared_folder_is_an_error(spark):
