@@ -10,7 +10,7 @@ memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_until(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """As :func:`written`, and a function that removes the folder, for a reader that has written its own result since."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+
+    def remove() -> None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    return spark.read.schema(df.schema).parquet(path), remove
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (every output bit depends on every input bit)."""
     x = x.astype(_U, copy=True)

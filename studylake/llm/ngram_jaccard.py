@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studylake.llm.common import _U, components, grams, groups, mix, small_batches, string_buffers, table, words, written
+from studylake.llm.common import _U, components, grams, groups, kept_until, mix, small_batches, string_buffers, table, words, written
 
 NUM, DEN = 90, 100
 SHINGLE = 3
@@ -292,6 +292,42 @@ def _verified(tiles: DataFrame, num: int, den: int) -> DataFrame:
     return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a bigint, b bigint, links bigint")
 
 
+#: Keys that a task sorts at a time; a bound of its memory, not of the result.
+KEY_BLOCK = 1 << 22
+
+
+def _key_rows(rows: DataFrame) -> DataFrame:
+    """(key, uid): the least row of every key of a block of rows, and the other rows under a key of their own with it.
+
+    Rows that agree are joined where they are read: a key that a third of all rows hold is shuffled once a block.
+    """
+    def block(uid: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((uid, key))
+        uid, key = uid[order], key[order]
+        start = np.r_[True, key[1:] != key[:-1]]
+        least = uid[start][np.cumsum(start) - 1]
+        pairs = np.unique(np.column_stack([least, uid])[~start & (least != uid)], axis=0)
+        # the pair's own key leads only to other rows that go with the same least row
+        own = mix(pairs[:, 0].astype(_U) ^ _U(0xC2B2AE3D27D4EB4F)).view(np.int64)
+        heads, at = np.unique(pairs[:, 0], return_index=True)
+        return pa.record_batch({"key": pa.array(np.r_[key[start], own, own[at]]), "uid": pa.array(np.r_[uid[start], pairs[:, 1], heads])})
+
+    def run(batches):
+        uids, keys, size = [], [], 0
+        for b in batches:
+            col = b.column("keys")
+            uids.append(np.repeat(b.column("uid").to_numpy(), np.diff(col.offsets.to_numpy())))
+            keys.append(col.flatten().to_numpy())
+            size += len(keys[-1])
+            if size >= KEY_BLOCK:
+                yield block(np.concatenate(uids), np.concatenate(keys))
+                uids, keys, size = [], [], 0
+        if size:
+            yield block(np.concatenate(uids), np.concatenate(keys))
+
+    return rows.select("uid", "keys").mapInArrow(run, "key bigint, uid bigint")
+
+
 def tiles_of(members: DataFrame, num: int, den: int) -> DataFrame:
     """(rep, tiles: array of (tile, side)) from ``members`` (family, rep, n); side 0: diagonal tile, 1 and 2: the two blocks.
 
@@ -340,27 +376,35 @@ def text_classes(documents: DataFrame, n: int = SHINGLE, num: int = NUM, den: in
 def _linked(documents: DataFrame, n: int, num: int, den: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
     """The rows (doc_id, n, digest; row if given), and (digest, class, low, links) of every set; ``by_id``: sets of one doc_id are in one class."""
     small_batches(documents.sparkSession)
-    rows = written(_sets_frame(documents, n, num, den), "jaccard-sets")
+    full, drop_keys = kept_until(_sets_frame(documents, n, num, den).withColumn("uid", F.monotonically_increasing_id()), "jaccard-sets")
+    rows = written(full.drop("keys", "bitmap"), "jaccard-rows")
     some = rows.where("n > 0 and doc_id is not null")
-    # doc: an id that holds the set, to find its text again; rep: the set's node, a number of its own, as an id may hold several sets
-    reps = written(some.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.count("*").alias("mult"), F.max("n").alias("n"))
-                   .withColumn("rep", F.monotonically_increasing_id()), "jaccard-reps")
-    keys = (some.groupBy("digest").agg(F.first("keys").alias("keys")).join(reps.select("digest", "rep"), "digest")
-            .select("rep", F.explode("keys").alias("key")))
-    # pre-aggregated before the shuffle, and a hot key's join can be split: no task sees a key's sets
-    first = keys.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first != last").select("key", "first")
-    agree = keys.join(first, "key").where("rep != first").select("rep", "first").distinct()
-    families = written(components(agree.select(F.col("rep").alias("src"), F.col("first").alias("dst"))), "jaccard-families")
-    members = families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(reps, "rep")
+    # rep: the set's node, the number of one of its rows, as an id may hold several sets; doc: that row's id, to find the text again
+    reps = written(some.groupBy("digest").agg(F.min(F.struct("uid", "doc_id")).alias("first"), F.count("*").alias("mult"), F.max("n").alias("n"))
+                   .select("digest", F.col("first.uid").alias("rep"), F.col("first.doc_id").alias("at"), "mult", "n"), "jaccard-reps")
+    low_doc = some.groupBy("digest").agg(F.min("doc_id").alias("doc"))
+    # one exchange of the keys: the least row of a key and the rows it leads to come from the same partitions
+    keys = _key_rows(full.where("n > 0 and doc_id is not null").select("uid", "keys")).repartition("key")
+    first = keys.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first != last").select("key", "first")
+    agree = keys.join(first.hint("merge"), "key").where("uid != first").select(F.col("uid").alias("src"), F.col("first").alias("dst")).distinct()
+    same = some.join(reps.where("mult > 1").select("digest", "rep"), "digest").where("uid != rep").select(F.col("uid").alias("src"), F.col("rep").alias("dst"))
+    agree = written(agree, "jaccard-agree")
+    linked = written(components(agree.unionByName(same)), "jaccard-families")
+    families = linked.join(reps.select(F.col("rep").alias("node")), "node", "left_semi")
+    # a family of one set has nothing to compare
+    several = families.groupBy("component").agg(F.count("*").alias("sets")).where("sets > 1").select("component")
+    members = (families.join(several, "component").select(F.col("node").alias("rep"), F.col("component").alias("family"))
+               .join(reps.withColumnRenamed("at", "doc"), "rep"))
     wanted = written(members.select("rep", "doc", "mult", "digest").join(tiles_of(members.select("family", "rep", "n"), num, den), "rep"), "jaccard-tiles")
-    bitmaps = some.groupBy("digest").agg(F.max("n").alias("n"), F.first("bitmap").alias("bitmap"))
-    meet = wanted.join(bitmaps, "digest").select("rep", "n", "bitmap", F.explode("tiles").alias("t")).select("t.tile", "t.side", "rep", "n", "bitmap")
+    bitmaps = full.select(F.col("uid").alias("rep"), "n", "bitmap")
+    meet = wanted.join(bitmaps, "rep").select("rep", "n", "bitmap", F.explode("tiles").alias("t")).select("t.tile", "t.side", "rep", "n", "bitmap")
     screened = _screened(meet, num, den).groupBy("rep").agg(F.collect_set("tile").alias("passed"))
     wanted = wanted.join(screened, "rep").select("rep", "doc", "mult", "digest", F.filter("tiles", lambda t: F.array_contains("passed", t["tile"])).alias("tiles"))
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc"), "text").join(wanted, "doc")
     arrays = _arrays_frame(texts, n)
     tiles = arrays.select("rep", "mult", "shingles", F.explode("tiles").alias("t")).select(F.col("t.tile").alias("tile"), F.col("t.side").alias("side"), "rep", "mult", "shingles")
     found = written(_verified(tiles, num, den), "jaccard-links")
+    drop_keys()
     edges = found.where("a != b").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     if by_id:
         held = some.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo != hi").select("doc_id")
@@ -368,12 +412,13 @@ def _linked(documents: DataFrame, n: int, num: int, den: int, by_id: bool) -> tu
         edges = edges.unionByName(held.join(held.groupBy("doc_id").agg(F.min("rep").alias("dst")), "doc_id").select(F.col("rep").alias("src"), "dst"))
     classes = components(edges).select(F.col("node").alias("rep"), "component")
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
+    reps = reps.join(low_doc, "digest")
     of_set = (reps.select("digest", "rep", "mult", "doc").join(classes, "rep", "left").join(counts, "rep", "left")
               .select("digest", F.coalesce("component", "rep").alias("class"), "doc", "component",
                       (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links")))
     low = reps.join(classes, "rep").groupBy("component").agg(F.min("doc").alias("low"))
     sets = of_set.join(low, "component", "left").select("digest", "class", F.coalesce("low", "doc").alias("low"), "links")
-    return rows.drop("keys", "bitmap"), sets
+    return rows.drop("uid"), sets
 
 
 def op8_bitmap_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
