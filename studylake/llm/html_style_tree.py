@@ -57,7 +57,11 @@ _WORDS = frozenset
 VOID = _WORDS("area base br col embed hr img input link meta param source track wbr".split())
 RAW = _WORDS("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = _WORDS("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
-NOISE_TAGS = _WORDS("head title script style noscript template nav footer aside form button select option textarea iframe svg canvas object menu dialog noembed noframes".split())
+#: What may stand in a head; any other tag, or text, ends it, as its end tag may be left out.
+IN_HEAD = _WORDS("title meta link base basefont bgsound script style noscript noframes template".split())
+#: Tags without a place in the text: a paragraph goes on behind them.
+UNSEEN = _WORDS("script style link meta base".split())
+NOISE_TAGS = _WORDS("head title script style noscript template nav footer aside button select option textarea iframe svg canvas object menu dialog noembed noframes".split())
 NOISE_ROLES = _WORDS("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NOISE_NAMES = _WORDS("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay
 sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments respond disqus share sharing social related newsletter subscribe signup login widget toolbar pagination""".split())
@@ -67,6 +71,9 @@ CLOSES_P = _WORDS("address article aside blockquote center details dialog dir di
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "optgroup": ("option", "optgroup"), "tbody": ("tr", "td", "th", "thead", "tbody"), "thead": (), "tfoot": ("tr", "td", "th", "tbody")}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "optgroup": ("select",), "tbody": ("table",), "tfoot": ("table",)}
+#: Noise words that say so beside any other word ("ad-slot", "user-comments", "sidebar-2") but one that takes it back.
+PLAIN_NOISE = _WORDS("ad ads advert advertisement sponsored sponsor promo sidebar comment comments cookie newsletter breadcrumb breadcrumbs".split())
+TAKES_BACK = _WORDS("no not non has have is with without free off open js".split())
 P_SCOPE = _WORDS("html table td th caption button object template".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|</?([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?/][^>]*>?|<[a-zA-Z][^>]*\Z""", re.S)
@@ -90,7 +97,9 @@ PLAIN, ARTICLE, MAIN = 0, 1, 2
 
 
 def _says_noise(token: str) -> bool:
-    parts = [p for p in re.split(r"[-_]+", token) if p]
+    parts = [p for p in re.split(r"[-_]+", token) if p and not re.fullmatch(r"\d+(x\d+)?", p)]
+    if len(parts) == 2 and any(p in PLAIN_NOISE for p in parts) and not any(p in TAKES_BACK for p in parts):
+        return True
     return any(p in NOISE_NAMES for p in parts) and all(p in NOISE_NAMES or p in BESIDE for p in parts)
 
 
@@ -105,8 +114,9 @@ def _marks(tag: str, attributes: dict[str, str], inside: bool) -> tuple[bool, bo
     if tag == "main" or role == "main" or attributes.get("itemprop", "").lower() == "articlebody":
         return False, False, MAIN
     if tag == "article":
-        return bool(names & {"comment", "comments"}), False, ARTICLE
-    named = any(map(_says_noise, names)) or (not inside and (tag == "header" or bool(names & {"header", "site-header", "page-header"})))
+        return bool(names & {"comment", "comments", "reply", "replies"}), False, ARTICLE
+    # a form is noise as a name is: not if it holds the article, or most of the page
+    named = tag == "form" or any(map(_says_noise, names)) or (not inside and (tag == "header" or bool(names & {"header", "site-header", "page-header"})))
     return False, named, PLAIN
 
 
@@ -125,6 +135,17 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, int]], list[Node]]:
             owner = next(n for n in reversed(stack) if n.tag not in INLINE)
             out.append((joined, owner))
 
+    def leave_head() -> None:
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].tag == "head":
+                pop_to(k)
+                break
+
+    def write(t: str) -> None:
+        if stack[-1].tag == "head" and not t.isspace():
+            leave_head()
+        text.append(t)
+
     def pop_to(k: int) -> None:
         if any(n.tag not in INLINE for n in stack[k:]):
             flush()
@@ -134,10 +155,10 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, int]], list[Node]]:
     while at < end:
         m = _TOKEN.search(page, at)
         if m is None:
-            text.append(html.unescape(page[at:]))
+            write(html.unescape(page[at:]))
             break
         if m.start() > at:
-            text.append(html.unescape(page[at:m.start()]))
+            write(html.unescape(page[at:m.start()]))
         at = m.end()
         tag = m[1]
         if tag is None:
@@ -149,6 +170,8 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, int]], list[Node]]:
                     pop_to(k)
                     break
             continue
+        if tag not in IN_HEAD:
+            leave_head()
         if tag in CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
@@ -168,7 +191,7 @@ def blocks(page: str) -> tuple[list[tuple[str, Node, bool, int]], list[Node]]:
                 pop_to(low)
         if tag == "br":
             text.append(" ")
-        elif tag not in INLINE:
+        elif tag not in INLINE and tag not in UNSEEN:
             flush()
         parent = stack[-1]
         if tag in VOID:
