@@ -76,24 +76,64 @@ def unescaped(t: Column) -> Column:
     return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), sign), ""))
 
 
+#: Parts of a page whose tags are no elements.
+HIDDEN = "|".join([r"<!--.*?(?:-->|\z)", *(rf"<{t}\b.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "textarea", "title", "xmp", "iframe"))])
+#: One attribute of a tag, with its value.
+ATTRIBUTE = r"""[^\s=/"'>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+#: The target in the content of a refresh.
+REFRESH = r"""(?is)^\s*[0-9]*(?:\.[0-9]*)?\s*[;,]?\s*url\s*=\s*["']?([^"'\s>]+)"""
+
+
+def attribute(attributes: Column, name: str) -> Column:
+    """The value of the first attribute ``name`` (null if none), of attributes as ATTRIBUTE finds them."""
+    own = F.try_element_at(F.filter(attributes, lambda a: a.rlike(rf"(?is)^{name}\s*=")), F.lit(1))
+    value = F.regexp_replace(own, rf"(?is)^{name}\s*=\s*", "")
+    return F.regexp_replace(value, """(?s)^["'](.*)["']$""", "$1")
+
+
+def _resolved(path: Column) -> Column:
+    """A path without . and .. segments."""
+    segments = F.split(path, "/")
+    kept = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), F.array(F.lit("")), lambda acc, x: (
+        F.when(x == ".", acc).when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc)).otherwise(F.concat(acc, F.array(x)))))
+    end = F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.array_join(kept, "/"), end)).otherwise(path)
+
+
 def page_links(html: Column, url: Column) -> Column:
-    """Absolute URLs that canonical links and refresh redirects of a page name; tags may run over several lines."""
-    tags = F.regexp_extract_all(html, F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0))
-    canonical = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?is)^<link\b.*\brel\s*=\s*["']?canonical\b""")),
-                            lambda t: F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1))
-    refresh = F.transform(F.filter(tags, lambda t: t.rlike(r"""(?is)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b""")),
-                          lambda t: F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
+    """Absolute URLs that canonical links and refresh redirects of a page name.
+
+    Tags may run over several lines and hold > in quoted values; those in comments, scripts and other raw text do
+    not count.  A reference is absolute if it starts with a scheme; . and .. segments are resolved.
+    """
+    seen = F.regexp_replace(html, f"(?is){HIDDEN}", " ")
+    tags = F.regexp_extract_all(seen, F.lit(r"""(?is)<(?:link|meta)(?=[\s/>])(?:"[^"]*+"|'[^']*+'|[^'">]++)*+>"""), F.lit(0))
+
+    def target(tag: Column) -> Column:
+        own = F.regexp_extract_all(F.substring(tag, 6, 2147483647), F.lit(ATTRIBUTE), F.lit(0))
+        rel = F.split(F.lower(F.trim(F.coalesce(attribute(own, "rel"), F.lit("")))), r"\s+")
+        refresh = F.lower(F.trim(attribute(own, "http-equiv"))) == "refresh"
+        return (F.when(tag.rlike("(?i)^<link") & F.array_contains(rel, "canonical"), F.trim(attribute(own, "href")))
+                .when(tag.rlike("(?i)^<meta") & refresh, F.regexp_extract(attribute(own, "content"), REFRESH, 1)))
+
     root = F.regexp_extract(url, r"^([^:]*://[^/?#]*)", 1)
+    page = F.regexp_extract(url, r"^([^:]*://[^/?#]*[^?#]*)", 1)
     folder = F.regexp_extract(url, r"^([^:]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
 
     def absolute(t: Column) -> Column:
-        return (F.when(t.contains("://"), t)
+        return (F.when(t.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), t)
                 .when(t.startswith("//"), F.concat(F.lit("http:"), t))
                 .when(t.startswith("/"), F.concat(root, t))
+                .when(t.startswith("?"), F.concat(page, t))
+                .when(folder == root, F.concat(root, F.lit("/"), t))
                 .otherwise(F.concat(folder, t)))
 
-    named = F.transform(F.concat(canonical, refresh), lambda t: F.when(t.contains("&"), unescaped(t)).otherwise(t))
-    return F.transform(F.filter(named, lambda t: F.length(t) > 0), absolute)
+    def plain(t: Column) -> Column:
+        head, path = F.regexp_extract(t, r"^([^:]*://[^/?#]*)", 1), F.regexp_extract(t, r"^[^:]*://[^/?#]*(/[^?#]*)", 1)
+        return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(head, _resolved(path), F.regexp_extract(t, r"([?#].*)$", 1))).otherwise(t)
+
+    named = F.transform(F.transform(tags, target), lambda t: F.when(t.contains("&"), unescaped(t)).otherwise(t))
+    return F.transform(F.transform(F.filter(named, lambda t: (F.length(t) > 0) & ~t.startswith("#")), absolute), plain)
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -124,23 +164,40 @@ def op3_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
-SQL = r"""
+def _sql() -> str:
+    """The same in SQL, apart from rules of Java's patterns: possessive repeats and look-ahead are not needed there."""
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def attr(name: str) -> str:
+        value = f"regexp_replace(list_filter(own, lambda a: regexp_matches(a, '(?is)^{name}\\s*='))[1], '(?is)^{name}\\s*=\\s*', '')"
+        return f"""regexp_replace({value}, {quoted("""(?s)^["'](.*)["']$""")}, '\\1')"""
+
+    tag = quoted(r"""(?is)<(?:link|meta)(?:[\s/](?:"[^"]*"|'[^']*'|[^'">]+)*)?>""")
+    code = "CASE WHEN regexp_matches(x, '^#[0-9]{1,7};') THEN CAST(regexp_extract(x, '^#([0-9]{1,7});', 1) AS INTEGER) WHEN regexp_matches(x, '^#[xX][0-9A-Fa-f]{1,6};') THEN CAST('0x' || regexp_extract(x, '^#[xX]([0-9A-Fa-f]{1,6});', 1) AS INTEGER) END"
+    sign = f"CASE WHEN starts_with(x, 'amp;') THEN '&' || substr(x, 5) WHEN ({code}) > 32 AND ({code}) < 127 THEN chr({code}) || regexp_replace(x, '^[^;]*;', '') ELSE '&' || x END"
+    return rf"""
 with recursive p as (
   select page_id, url, html,
     translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path,
     coalesce(regexp_extract(url, '://[^/?#]*([^#]*)', 1), '') as rest
   from pages),
-t as (select host || rest as src, root, folder, lnk from (
-    select host, rest, regexp_extract(url, '^([^:]*://[^/?#]*)', 1) as root,
-      regexp_extract(url, '^([^:]*://[^/?#]*(?:/[^?#]*/|/)?)', 1) as folder,
-      unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) as tag from p where host <> '') x,
-    lateral (select case when regexp_matches(tag, '(?i)^<link\b.*\brel\s*=\s*["'']?canonical\b') then regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
-                         when regexp_matches(tag, '(?i)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b') then regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1) end as lnk) y
-  where lnk <> ''),
-a as (select src, case when contains(lnk, '://') then lnk when starts_with(lnk, '//') then 'http:' || lnk
-                       when starts_with(lnk, '/') then root || lnk else folder || lnk end as u from t),
-e as (select src, lower(regexp_extract(u, '://([^/?#]*)', 1)) || regexp_extract(u, '://[^/?#]*([^#]*)', 1) as dst from a where regexp_extract(u, '://([^/?#]*)', 1) <> ''),
+g as (select host, rest, regexp_extract(url, '^([^:]*://[^/?#]*)', 1) as root, regexp_extract(url, '^([^:]*://[^/?#]*[^?#]*)', 1) as page,
+    regexp_extract(url, '^([^:]*://[^/?#]*(?:/[^?#]*/|/)?)', 1) as folder,
+    unnest(regexp_extract_all(regexp_replace(html, {quoted("(?is)" + HIDDEN)}, ' ', 'g'), {tag})) as tag
+  from p where host <> '' and regexp_matches(html, '(?i)<(link|meta)')),
+o as (select *, regexp_extract_all(substr(tag, 6), {quoted(ATTRIBUTE)}) as own from g),
+h as (select *, case when regexp_matches(tag, '(?i)^<link') and list_contains(string_split_regex(lower(trim(coalesce({attr("rel")}, ''))), '\s+'), 'canonical') then trim({attr("href")})
+    when regexp_matches(tag, '(?i)^<meta') and lower(trim({attr("http-equiv")})) = 'refresh' then regexp_extract({attr("content")}, {quoted(REFRESH)}, 1) end as raw from o),
+t as (select *, string_split(raw, '&')[1] || coalesce(array_to_string(list_transform(string_split(raw, '&')[2:], lambda x: {sign}), ''), '') as lnk from h where raw <> '' and not starts_with(raw, '#')),
+a as (select host || rest as src, case when regexp_matches(lnk, '^[A-Za-z][A-Za-z0-9+.-]*:') then lnk when starts_with(lnk, '//') then 'http:' || lnk
+    when starts_with(lnk, '/') then root || lnk when starts_with(lnk, '?') then page || lnk when folder = root then root || '/' || lnk else folder || lnk end as u from t),
+d as (select src, u, regexp_extract(u, '^[^:]*://[^/?#]*(/[^?#]*)', 1) as path from a),
+r as (select src, case when regexp_matches(path, '/\.\.?(?:/|$)') then regexp_extract(u, '^([^:]*://[^/?#]*)', 1)
+    || array_to_string(list_reduce(list_transform(string_split(path, '/'), lambda s: [s]), lambda acc, x: case when x[1] = '.' then acc when x[1] = '..' then (case when len(acc) > 1 then acc[1:len(acc) - 1] else acc end) else list_concat(acc, x) end), '/')
+    || case when regexp_matches(path, '/\.\.?$') then '/' else '' end || regexp_extract(u, '([?#].*)$', 1) else u end as u from d),
+e as (select src, lower(regexp_extract(u, '://([^/?#]*)', 1)) || regexp_extract(u, '://[^/?#]*([^#]*)', 1) as dst from r where regexp_extract(u, '://([^/?#]*)', 1) <> ''),
 both_ways as (select src, dst from e union select dst, src from e),
 reach as (select src as node, src as other from both_ways union select r.node, b.dst from reach r join both_ways b on r.other = b.src),
 rules(verdict, h, pre) as (values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
@@ -152,3 +209,6 @@ own as (select d.host, d.path, arg_max(h || pre, length(h) + length(pre)) as rul
 select p.page_id, p.host, p.path, own.rule, coalesce(own.v, alias.v, 'allow') as verdict
 from p left join own on p.host = own.host and p.path = own.path left join alias on p.host <> '' and p.host || p.rest = alias.node
 """
+
+
+SQL = _sql()
