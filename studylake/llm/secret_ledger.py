@@ -68,6 +68,11 @@ RULES = BASE_RULES + MORE_RULES
 SPAN = "struct<start:bigint,end:bigint,kind:string,version:int>"
 
 
+#: An array or text that grows by one match at a time is closed at this length and put aside, so that the work of a
+#: text with many matches does not grow with their square.
+RUN, RUN_CHARS = 256, 1 << 16
+
+
 def rule_spans(text: Column, rule: SecretRule) -> Column:
     """Spans of a rule's leftmost non-overlapping matches, less those that are too short."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
@@ -76,14 +81,20 @@ def rule_spans(text: Column, rule: SecretRule) -> Column:
     sizes = F.zip_with(F.slice(between, F.lit(1), F.size(found)), F.arrays_zip(found.alias("m"), counted.alias("g")),
                        lambda b, x: F.struct(F.char_length(b).cast("bigint").alias("b"), F.char_length(x["m"]).cast("bigint").alias("m"), F.char_length(x["g"]).alias("g")))
 
+    none = F.array().cast(f"array<{SPAN}>")
+
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + x["b"]
         end = start + x["m"]
         span = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(rule.kind).alias("kind"), F.lit(rule.version).alias("version")))
-        return F.struct(end.alias("pos"), F.when(x["g"] >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        full = F.size(acc["run"]) >= RUN
+        run = F.when(full, none).otherwise(acc["run"])
+        return F.struct(end.alias("pos"), F.when(full, F.concat(acc["runs"], F.array(acc["run"]))).otherwise(acc["runs"]).alias("runs"),
+                        F.when(x["g"] >= rule.least, F.concat(run, span)).otherwise(run).alias("run"))
 
-    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-    return F.when(text.rlike(rule.pattern), F.aggregate(sizes, zero, step, lambda acc: acc["spans"])).otherwise(F.array().cast(f"array<{SPAN}>"))
+    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast(f"array<array<{SPAN}>>").alias("runs"), none.alias("run"))
+    spans = F.aggregate(sizes, zero, step, lambda acc: F.concat(F.flatten(acc["runs"]), acc["run"]))
+    return F.when(text.rlike(rule.pattern), spans).otherwise(none)
 
 
 def scan_unseen(blobs: DataFrame, rules: Sequence[SecretRule]) -> DataFrame:
@@ -147,11 +158,13 @@ def redact(documents: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULE
 
     def step(acc: Column, x: Column) -> Column:
         upto = F.when(x["start"] > acc["pos"], F.substring(text, acc["pos"].cast("int") + 1, (x["start"] - acc["pos"]).cast("int"))).otherwise("")
-        more = F.when(x["start"] >= acc["pos"], F.concat(acc["out"], upto, F.lit("["), x["kind"], F.lit("]"))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), more.alias("out"))
+        full = F.char_length(acc["run"]) >= RUN_CHARS
+        run = F.when(full, F.lit("")).otherwise(acc["run"])
+        more = F.when(x["start"] >= acc["pos"], F.concat(run, upto, F.lit("["), x["kind"], F.lit("]"))).otherwise(run)
+        return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), F.when(full, F.concat(acc["runs"], F.array(acc["run"]))).otherwise(acc["runs"]).alias("runs"), more.alias("run"))
 
-    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit("").alias("out"))
-    hidden = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"].cast("int") + 1, 2147483647)))
+    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast("array<string>").alias("runs"), F.lit("").alias("run"))
+    hidden = F.aggregate("spans", zero, step, lambda acc: F.concat(F.array_join(acc["runs"], ""), acc["run"], F.substring(text, acc["pos"].cast("int") + 1, 2147483647)))
     found = scan_versions(documents, ledger, rules, keep_text=True)
     return found.withColumn("text", F.when(F.size("spans") > 0, hidden).otherwise(F.col("text"))).select(*documents.columns)
 
