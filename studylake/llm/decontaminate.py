@@ -27,6 +27,8 @@ along; without documents or items no pair is found; other columns are kept by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -177,8 +179,8 @@ def leaks(seeds: Seeds, column, min_score: float) -> list[list[tuple]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame) -> list[list[tuple[int, np.ndarray]]]:
-    """Items (item_id, word hashes) in blocks of about BLOCK_SEEDS seeds at most; an item is never cut."""
+def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Items (item_id, word hashes) in blocks of about BLOCK_SEEDS seeds at most, one read after the other; an item is never cut."""
     def run(batches):
         for b in batches:
             h, first = word_hashes(b.column("text"))
@@ -187,11 +189,9 @@ def item_blocks(benchmark: DataFrame) -> list[list[tuple[int, np.ndarray]]]:
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").mapInArrow(run, "item_id bigint, words array<bigint>").where(F.size("words") > 0)
     total = rows.agg(F.sum(F.size("words"))).first()[0] or 0
     n = max(1, -(-total // BLOCK_SEEDS))
-    out = []
     for k in range(n):  # a driver loop over bounded blocks of the benchmark, not over rows of the corpus
         got = rows.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)) == k).orderBy("item_id", "words").collect() if total else []
-        out.append([(r["item_id"], np.array(r["words"], dtype=np.int64).view(_U)) for r in got])
-    return out
+        yield [(r["item_id"], np.array(r["words"], dtype=np.int64).view(_U)) for r in got]
 
 
 def seed_counts(documents: DataFrame, seeds: Seeds) -> Seeds:
@@ -211,9 +211,10 @@ def seed_counts(documents: DataFrame, seeds: Seeds) -> Seeds:
 def mark(documents: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``documents`` with a new column leaks: array of (item_id, score, from_word, to_word), word offsets with exclusive end."""
     small_batches(documents.sparkSession)
+    corpus = documents.select("text")  # seeds are counted on it, not behind the alignment of earlier blocks
     documents = documents.drop("leaks").withColumn("leaks", F.array().cast(f"array<{LEAK}>"))
     for items in item_blocks(benchmark):
-        seeds = seed_counts(documents, Seeds(items))
+        seeds = seed_counts(corpus, Seeds(items))
 
         def run(batches, seeds=seeds):
             for b in batches:
