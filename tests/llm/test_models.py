@@ -187,3 +187,40 @@ def test_versions_of_one_article_are_one_page(spark):
     rows += [(100 + i, f"http://plain.example/{i}", plain.format(i, ad.format(i))) for i in range(10)]
     got = {r["page_id"]: r["text"] for r in html_style_tree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got == {i: "The title\nThe only article of this host, held thirty times." for i in range(30)} | {100 + i: "An article that is not marked, ten times with other adverts." for i in range(10)}
+
+
+LONG = "<p>" + "A long sentence of the article with many words. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><body><article><p>Text.</p></article>", "Text."),
+    ("<head><meta charset=x><title>T</title>Hello there<p>x", "Hello there\nx"),
+    ("<html><head><title>T</title><p>One<p>Two", "One\nTwo"),
+    ("<p>Hello <script>var a = '<p>';</script> world</p><p>a<style>x</style>b</p>", "Hello world\nab"),
+    ("<form action=/x><div><h1>Head</h1><p>First.</p><p>Second.</p></div></form>", "Head\nFirst.\nSecond."),
+    ("<form><main><p>Text.</p></main></form>", "Text."),
+    ("<article><p>Text.</p></article><form>search <input> terms</form>", "Text."),
+    ("<article><p>Text.</p></article><article class=reply><p>I agree</p></article>", "Text."),
+])
+def test_main_text_of_pages_with_left_out_tags_scripts_and_forms(page, text):
+    assert html_style_tree.main_text(page) == text
+
+
+@pytest.mark.parametrize("name,gone", [("user-comments", True), ("comment-thread", True), ("ad-slot", True), ("sidebar-1", True), ("ad-728x90", True),
+                                       ("no-comments", False), ("comment-open", False), ("has-sidebar", False), ("content", False)])
+def test_noise_words_beside_another_word(name, gone):
+    assert ("GONE" in html_style_tree.main_text(f'<div><h1>Title</h1>{LONG}</div><div class="{name}">GONE</div>')) != gone
+
+
+def test_leaks_of_a_benchmark_in_several_blocks_equal_those_of_one(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, prose(rng, 30, 3000)) for i in range(12)] + [(99, None), (98, "")]
+    texts = [(i, prose(rng, 60, 3000) + " " + items[i % 12][1] + " " + prose(rng, 40, 3000)) for i in range(30)] + [(100, None), (101, prose(rng, 50, 3000))]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    show = lambda: {r.doc_id: sorted(map(tuple, r.leaks)) for r in decontaminate.mark(docs, benchmark).collect()}
+    one = show()
+    assert {d: [x[0] for x in found] for d, found in one.items()} == {**{i: [i % 12] for i in range(30)}, 100: [], 101: []}
+    monkeypatch.setattr(decontaminate, "BLOCK_SEEDS", 100)
+    assert len(list(decontaminate.item_blocks(benchmark))) == 4
+    assert show() == one

@@ -24,7 +24,7 @@ def rows_of(df) -> list[tuple]:
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     rel = con.sql(registry.ORACLE[name])
     df = registry.QUERIES[name](spark, SF)
@@ -157,3 +157,64 @@ def test_links_over_lines_and_with_references(spark):
              (6, "http://f.example.org/1", '<link\n rel="stylesheet"\n href="http://evil.net/x">')]
     got = {r.page_id: r.verdict for r in url_redirects.judge(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}
+
+
+#: (page's html, whether it leads to http://evil.net/x) on pages of http://h.example.org/a/b/
+EDGES = [
+    ("<link rel=canonical href='http://evil.net/x'>", True),
+    ("<link rel='nofollow canonical' href=http://evil.net/x>", True),
+    ("<link rel=canonical data-href='/other' href='http://evil.net/x'>", True),
+    ("<link title='a > b' rel=canonical href='http://evil.net/x'>", True),
+    ("<link rel=canonical title=\"x href='/y' rel='stylesheet'\" href='http://evil.net/x'/>", True),
+    ("<link rel=canonical href='//evil.net/a/../b/./../x'>", True),
+    ("<LINK REL=Canonical HREF=' http://evil.net/x '>", True),
+    ("<meta content='5 ; URL=http://evil.net/x' http-equiv=Refresh>", True),
+    ("<link rel=canonical href='/login?next=http://evil.net/x'>", False),
+    ("<!-- <link rel=canonical href='http://evil.net/x'> -->", False),
+    ("<script>var t = \"<link rel=canonical href='http://evil.net/x'>\";</script>", False),
+    ("<link data-rel='canonical' href='http://evil.net/x'>", False),
+    ("<link rel='canonical-x' href='http://evil.net/x'>", False),
+    ("<linker rel=canonical href='http://evil.net/x'>", False),
+    ("<link rel=stylesheet href='http://evil.net/x'>", False),
+    ("<link rel=canonical href='#http://evil.net/x'>", False),
+    ("<link rel=canonical href='mailto:a@evil.net'>", False),
+    ("<link rel=canonical href=''><link rel=canonical>", False),
+    ("<link rel=canonical href='http://evil.net/x' ", False),
+    ("<meta name=refresh content='0;url=http://evil.net/x'>", False),
+    ("<p title=\"<link rel=canonical href='http://evil.net/x'\">text", False),
+    ("<" * 3000 + "<link " + "a " * 3000, False),
+]
+
+
+def test_edges_are_read_as_a_browser_reads_them_and_equal_the_sql(spark):
+    pages = [(i, f"http://h{i}.example.org/a/b/", h) for i, (h, _) in enumerate(EDGES)]
+    pages += [(100, "http://up.example.org/a/b/c?q", "<link rel=canonical href='../z/./y'>"), (101, "http://up.example.org/a/z/y", "<link rel=canonical href=http://evil.net/x>"),
+              (102, "http://q.example.org/a", "<link rel=canonical href='?p=2'>"), (103, "http://q.example.org/a?p=2", "<link rel=canonical href=http://evil.net/x>"),
+              (104, "http://bare.example.org", "<link rel=canonical href='k'>"), (105, "http://bare.example.org/k", "<link rel=canonical href=http://evil.net/x>"),
+              (106, None, "<link rel=canonical href=http://evil.net/x>"), (107, "http://long.example.org/", "x<b>" * 200_000 + "<link rel=canonical href=http://evil.net/x>")]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r.page_id: r.verdict for r in url_redirects.judge(df).collect()}
+    assert {i: got[i] for i in range(len(EDGES))} == {i: "block" if hit else "allow" for i, (_, hit) in enumerate(EDGES)}
+    assert {i: got[i] for i in range(100, 108)} == {100: "block", 101: "block", 102: "block", 103: "block", 104: "block", 105: "block", 106: "allow", 107: "block"}
+    folder = scratch_path(spark, "edges")
+    save(df, folder, "pages")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{folder.removeprefix('file:')}/pages.parquet/*.parquet'")
+    rel = con.sql(url_redirects.SQL)
+    at, to = rel.columns.index("page_id"), rel.columns.index("verdict")
+    assert {r[at]: r[to] for r in rel.fetchall()} == got
+
+
+def test_a_text_of_many_matches_takes_time_in_proportion(spark):
+    """32,000 secrets in one text: spans and redaction equal plain Python, and the time stays in bounds."""
+    import time
+    n = 32_000
+    text = " ".join(f"token=abcdefgh{i:06d}" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "none")], "doc_id bigint, text string")
+    start = time.time()
+    got = secret_ledger.digests(secret_ledger.scan_versions(docs, scratch_path(spark, "many"))).where("doc_id = 1").first()
+    assert time.time() - start < 60
+    at = [m.span() for m in re.finditer("token=[a-z0-9]+", text)]
+    assert got.n_assign == n and got.spans == ",".join(f"assign:{a}:{b}" for a, b in at)
+    hidden = secret_ledger.redact(docs, scratch_path(spark, "many")).where("doc_id = 1").first().text
+    assert hidden == " ".join(["[assign]"] * n)
