@@ -186,7 +186,7 @@ with recursive p as (
 g as (select host, rest, regexp_extract(url, '^([^:]*://[^/?#]*)', 1) as root, regexp_extract(url, '^([^:]*://[^/?#]*[^?#]*)', 1) as page,
     regexp_extract(url, '^([^:]*://[^/?#]*(?:/[^?#]*/|/)?)', 1) as folder,
     unnest(regexp_extract_all(regexp_replace(html, {quoted("(?is)" + HIDDEN)}, ' ', 'g'), {tag})) as tag
-  from p where host <> '' and regexp_matches(html, '(?i)<(link|meta)')),
+  from p where host <> '' and regexp_matches(html, '(?i)<(link|meta)\b')),
 o as (select *, regexp_extract_all(substr(tag, 6), {quoted(ATTRIBUTE)}) as own from g),
 h as (select *, case when regexp_matches(tag, '(?i)^<link') and list_contains(string_split_regex(lower(trim(coalesce({attr("rel")}, ''))), '\s+'), 'canonical') then trim({attr("href")})
     when regexp_matches(tag, '(?i)^<meta') and lower(trim({attr("http-equiv")})) = 'refresh' then regexp_extract({attr("content")}, {quoted(REFRESH)}, 1) end as raw from o),
