@@ -25,7 +25,7 @@ from studylake.operators.lookups import latest_code, preview, resolve_codes, res
 from studylake.operators.normalise import accepted, conform_partitions, legacy_type_frames, normalise
 from studylake.operators.quality import fk_violations, pk_violations, star_fk_violations, star_pk_violations
 from studylake.operators.rejects import allocation_errors, reject_rows, summarise_rejects
-from studylake.plans.jobs import ZonePaths, init_warehouse, load_facts, run_batch
+from studylake.plans.jobs import ZonePaths, init_warehouse, load_facts, replay_quarantine, run_batch
 from studylake.session import apply_conf, scratch_path
 from studylake.sinks import warehouse
 from studylake.sinks.zones import write_conform, write_per_type, write_refine, zone_profile
@@ -439,6 +439,19 @@ def q_late_rows(spark, sf_dir):
     return _passive_out(warehouse.read_table(spark, root, "f_passive"))
 
 
+def q_quarantine_replay(spark, sf_dir):
+    """A load that knows every other subject only, then a replay of what it rejected with all subjects."""
+    _, ref = _prep(spark, sf_dir)
+    dims = _dims(spark, sf_dir)
+    base = scratch_path(spark, "quarantine")
+    root = f"{base}/warehouse"
+    fewer = dims.fresh()
+    fewer.d_subject = dims.d_subject.filter(F.col("subjectid") % 2 == 0)
+    load_facts(spark, ref, None, fewer, root, batch_tag="0")
+    replay_quarantine(spark, ZonePaths(refine=f"{base}/refine", conform=f"{base}/conform"), dims, root)
+    return _passive_out(warehouse.read_table(spark, root, "f_passive"))
+
+
 def q_batch_load(spark, sf_dir):
     """M-1 and M-3 as one batch job, apart from the stream."""
     raw, _ = _prep(spark, sf_dir)
@@ -487,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crowded_segments": q_crowded_segments,
     "late_rows": q_late_rows,
     "rejects_withdrawn": q_rejects_withdrawn,
+    "quarantine_replay": q_quarantine_replay,
     "incremental_load": q_incremental_load,
     "run_rejects": q_run_rejects,
     "batch_load": q_batch_load,

@@ -45,7 +45,7 @@ AGG_AVERAGE = "Average"
 AGG_EXISTENCE = "Existence"
 
 # ---------------------------------------------------------------------------
-# Column names
+# Column names (must equal the source system's)
 # ---------------------------------------------------------------------------
 
 DATA_TYPE = "data_type"
@@ -69,24 +69,16 @@ START_TIME = "start_time"
 STOP_TIME = "stop_time"
 SEVERITY = "severity_value"
 CORRUPT = "_corrupt_record"
+# Fields of a raw record that no schema declares (field -> its text), and the file a record came from.
+REST = "rest"
+SOURCE_FILE = "source_file"
 
 YEAR, MONTH, DAY, HOUR = "year_col", "month_col", "day_col", "hour_col"
 TYPE_P = "data_type_p_col"
 YEAR_P, MONTH_P, DAY_P, HOUR_P = "year_p_col", "month_p_col", "day_p_col", "hour_p_col"
 STUDY_P, SUBJECT_P = "study_type_p_col", "subject_id_p_col"
 
-REFINE_PARTITIONS = [TYPE_P, YEAR_P, MONTH_P, DAY_P, HOUR_P]
-# Last folder level of incrementally loaded zones: "<stream query id>-<micro-batch id>".
-LOAD_BATCH = "load_batch"
-CONFORM_PARTITIONS = [STUDY_P, SUBJECT_P, TYPE_P, YEAR_P, MONTH_P, DAY_P]
-
-# The business key of an hourly sensor group (A-2 / J-11).
-HOUR_GROUP_KEYS = [TYPE_P, STUDY_TYPE, SUBJECT_ID, WATCH_ID, PHONE_ID, YEAR_P, MONTH_P, DAY_P, HOUR_P]
-# The resolved key of an allocation (J-9).
-ALLOCATION_KEYS = ["mobileid", "studyid", "subjectid", "deviceid"]
-# The unique key of the passive fact (K-5).
-PASSIVE_KEYS = ["aggtypid", "sensorid", "deviceid", "subjectid", "siteid", "studyid", "timeid", "mobileid"]
-
+# Columns that routing removes per type.
 # Columns removed per type when routing (P-2), current job.
 DROP_COLUMNS = {
     ACCELEROMETER: [X_GYRO, Y_GYRO, Z_GYRO, HEART_BEAT, START_TIME, STOP_TIME, SEVERITY],
@@ -103,6 +95,18 @@ LEGACY_DROP_COLUMNS = {
     HEART_RATE: [X_ACC, Y_ACC, Z_ACC, X_GYRO, Y_GYRO, Z_GYRO],
 }
 
+REFINE_PARTITIONS = [TYPE_P, YEAR_P, MONTH_P, DAY_P, HOUR_P]
+# Root folder level of incrementally loaded zones: "<stream query id>-<micro-batch id>".
+LOAD_BATCH = "load_batch"
+CONFORM_PARTITIONS = [STUDY_P, SUBJECT_P, TYPE_P, YEAR_P, MONTH_P, DAY_P]
+
+# The business key of an hourly sensor group (A-2 / J-11).
+HOUR_GROUP_KEYS = [TYPE_P, STUDY_TYPE, SUBJECT_ID, WATCH_ID, PHONE_ID, YEAR_P, MONTH_P, DAY_P, HOUR_P]
+# The resolved key of an allocation (J-9).
+ALLOCATION_KEYS = ["mobileid", "studyid", "subjectid", "deviceid"]
+# The unique key of the passive fact (K-5).
+PASSIVE_KEYS = ["aggtypid", "sensorid", "deviceid", "subjectid", "siteid", "studyid", "timeid", "mobileid"]
+
 # Reject reasons (ours; the row-level account of what did not load).
 R_CORRUPT = "corrupt_record"
 R_UNKNOWN_TYPE = "unknown_type"

@@ -97,6 +97,16 @@ def merged_hours(delta: DataFrame, state: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rec_count"),
         F.sum(F.when(F.col(C.TYPE_P) == C.HEART_RATE, F.col(C.HEART_BEAT))).alias("hb_sum"),
         F.count(F.when(F.col(C.TYPE_P) == C.HEART_RATE, F.col(C.HEART_BEAT))).alias("hb_count"))
+    return _merged(batch, state)
+
+
+def groups_with_state(groups: DataFrame, state: DataFrame) -> DataFrame:
+    """Known hourly groups (keys, ``rec_count``), such as rejected ones, with the mean of all that ``state`` holds of them."""
+    own = groups.select(*C.HOUR_GROUP_KEYS, "rec_count", F.lit(None).cast("double").alias("hb_sum"), F.lit(0).cast("long").alias("hb_count"))
+    return _merged(own, state)
+
+
+def _merged(batch: DataFrame, state: DataFrame) -> DataFrame:
     before = state.select(*C.HOUR_GROUP_KEYS, F.lit(0).cast("long").alias("rec_count"), "hb_sum", "hb_count")
     return (batch.unionByName(before).groupBy(*C.HOUR_GROUP_KEYS)
             .agg(F.sum("rec_count").alias("rec_count"), F.sum("hb_sum").alias("hb_sum"), F.sum("hb_count").alias("hb_count"))

@@ -104,6 +104,11 @@ def resolve_passive(delta: DataFrame, dims: Dims, history: DataFrame | None = No
         groups = merged_hours(delta, state)
     else:
         groups = affected_hours(delta, None if history is None else schemas.conform_to(history, schemas.REFINE), dims)
+    return resolve_groups(groups, dims)
+
+
+def resolve_groups(groups: DataFrame, dims: Dims) -> DataFrame:
+    """Hourly groups (keys, ``rec_count``, ``mean_hr``) with ids, time, site, value and a reject reason."""
     g = groups.withColumns({
         "agg_value": passive_value(),
         "aggtypename": aggregation_type_name(),

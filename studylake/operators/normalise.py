@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from studylake import constants as C
 from studylake import schemas
 from studylake.functions.times import calendar_parts, parse_raw_time
 
 REJECT_REASON = "reject_reason"
+RAW_ROW = "raw_row"
 
 
 def _kept_by(drop_lists: dict[str, list[str]]) -> dict[str, list[str]]:
@@ -41,13 +43,17 @@ def prune_by_type(df: DataFrame, drop_lists: dict[str, list[str]] = C.DROP_COLUM
 def normalise(raw: DataFrame) -> DataFrame:
     """Raw records (RAW schema, missing columns allowed) -> REFINE columns + ``reject_reason``.
 
+    Fields that no schema declares go along in ``rest``.  Rejected rows keep
+    their raw record as JSON (``raw_row``) and its file, if known.
     Accepted rows have ``reject_reason`` NULL.  Rejected: ``corrupt_record``
     (the JSON line did not parse), ``unknown_type`` (NULL or unlisted type),
     ``bad_timestamp`` (the row's time did not parse).
     """
-    raw = schemas.conform_to(raw, schemas.RAW)
+    source = F.col(C.SOURCE_FILE) if C.SOURCE_FILE in raw.columns else F.lit(None).cast("string")
+    names = schemas.RAW.fieldNames()
+    raw = schemas.conform_to(raw.withColumn(C.SOURCE_FILE, source), T.StructType([*schemas.RAW.fields, T.StructField(C.SOURCE_FILE, T.StringType())]))
     dt = F.col(C.DATA_TYPE)
-    pruned = prune_by_type(raw)
+    pruned = prune_by_type(raw.withColumn(RAW_ROW, F.struct(*names)))
     parsed = pruned.withColumns({c: parse_raw_time(c) for c in schemas.TIME_COLUMNS})
     event_time = (F.when(dt.isin(*C.SENSOR_TYPES), F.col(C.MEASUREMENT_TIME))
                   .when(dt.isin(*C.EVENT_TYPES), F.col(C.START_TIME)))
@@ -59,7 +65,8 @@ def normalise(raw: DataFrame) -> DataFrame:
               .when(dt.isNull() | ~dt.isin(*C.ALL_TYPES), F.lit(C.R_UNKNOWN_TYPE))
               .when(event_time.isNull(), F.lit(C.R_BAD_TIMESTAMP)))
     out = with_parts.withColumn(REJECT_REASON, reason)
-    return out.select(*[f.name for f in schemas.REFINE.fields], REJECT_REASON, C.CORRUPT)
+    return out.select(*[f.name for f in schemas.REFINE.fields], REJECT_REASON, C.CORRUPT, C.SOURCE_FILE,
+                      F.when(F.col(REJECT_REASON).isNotNull(), F.to_json(RAW_ROW)).alias(RAW_ROW))
 
 
 def accepted(normalised: DataFrame) -> DataFrame:

@@ -92,3 +92,22 @@ def allocation_errors(row_rejects: DataFrame) -> DataFrame:
     out = (row_rejects.filter(F.col("reject_reason") == C.R_NO_ALLOCATION)
            .groupBy(*ID_COLS).agg(F.count(F.lit(1)).alias("reccount")))
     return schemas.conform_to(out, schemas.ALLOCATION_ERRORS)
+
+
+def quarantine_rows(resolved: DataFrame, stage: str) -> DataFrame:
+    """Rejected rows of a stage, whole, in the QUARANTINE shape (D-6, C-3): raw records of ``refine``, refine rows of
+    ``event``, hourly groups of ``passive``."""
+    r = resolved.filter(F.col("reject_reason").isNotNull())
+    if stage == "refine":
+        row, source = F.col("raw_row"), F.col(C.SOURCE_FILE)
+    else:
+        schema = schemas.REFINE if stage == "event" else schemas.HOUR_GROUP
+        row, source = F.to_json(F.struct(*schema.fieldNames())), F.lit(None).cast("string")
+    return r.select(F.lit(stage).alias("stage"), "reject_reason", row.alias("row"), source.alias(C.SOURCE_FILE))
+
+
+def rows_of_stage(quarantine: DataFrame, stage: str) -> DataFrame:
+    """The rows that :func:`quarantine_rows` kept, as they were."""
+    schema = {"refine": schemas.RAW, "event": schemas.REFINE, "passive": schemas.HOUR_GROUP}[stage]
+    kept = quarantine.filter(F.col("stage") == stage)
+    return kept.select(F.from_json("row", schema).alias("r"), C.SOURCE_FILE).select("r.*", C.SOURCE_FILE)

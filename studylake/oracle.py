@@ -380,6 +380,7 @@ delta AS (SELECT * FROM refine WHERE event_date > (SELECT max(event_date) FROM r
       SELECT 1 AS mobileid, g.studyid, 1 AS subjectid, 1 AS deviceid, strftime(g.d, '%Y-%m-%d') AS seg_start, strftime(g.nxt - 1, '%Y-%m-%d') AS seg_end,
         arg_max(p.siteid, p.allocationid) AS siteid, CAST(max(p.allocationid) AS INTEGER) AS allocationid
       FROM segs g JOIN p ON p.studyid = g.studyid AND p.s <= g.d AND g.d <= p.e WHERE g.nxt IS NOT NULL GROUP BY g.studyid, g.d, g.nxt""",
+    "quarantine_replay": q(passive_ctes(), f"SELECT {PASSIVE_SELECT} FROM p_site WHERE reject_reason IS NULL"),
     "late_rows": q(passive_ctes(), f"SELECT {PASSIVE_SELECT} FROM p_site WHERE reject_reason IS NULL"),
     "rejects_withdrawn": q("""
 both_batches AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS heart_beat_count) FROM refine UNION ALL SELECT * FROM refine WHERE day_p_col <= 15),""" +

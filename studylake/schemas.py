@@ -30,10 +30,10 @@ RAW = _struct(
     (C.HEART_BEAT, D), (C.ADDED_TO_HEALTH, S), (C.DATA_SYNC, S),
     (C.ADDED_TO_HEALTH_MS, L), (C.DATA_SYNC_MS, L),
     (C.START_TIME, S), (C.STOP_TIME, S), (C.SEVERITY, S),
-    (C.CORRUPT, S),
+    (C.CORRUPT, S), (C.REST, T.MapType(S, S)),
 )
 
-RAW_COLUMNS = [f.name for f in RAW.fields if f.name != C.CORRUPT]
+RAW_COLUMNS = [f.name for f in RAW.fields if f.name not in (C.CORRUPT, C.REST)]
 TIME_COLUMNS = (C.MEASUREMENT_TIME, C.START_TIME, C.STOP_TIME)
 
 # Refine zone: raw columns (times parsed), calendar columns, partition copies.
@@ -87,6 +87,10 @@ REJECT_SUMMARY = _struct(
     ("reccount", L), ("source_records", L),
 )
 
+# Rejected rows, kept as JSON of their stage's schema: raw records, refine rows of events, hourly groups.
+HOUR_GROUP = _struct(*[(c, REFINE[c].dataType) for c in C.HOUR_GROUP_KEYS], ("rec_count", L))
+QUARANTINE = _struct(("stage", S), ("reject_reason", S), ("row", S), (C.SOURCE_FILE, S), (C.LOAD_BATCH, S))
+
 DIMENSIONS: dict[str, T.StructType] = {
     "d_site": D_SITE, "d_subject": D_SUBJECT, "d_mobile": D_MOBILE, "d_device": D_DEVICE,
     "d_sensor": D_SENSOR, "d_study": D_STUDY, "d_datetime": D_DATETIME, "d_allocation": D_ALLOCATION,

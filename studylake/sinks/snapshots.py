@@ -167,6 +167,13 @@ class SnapshotTable:
             merged = df.unionByName(self.read_folders(folders).join(*self._same(df, key), "left_anti"))
         self._change(merged, base, folders)
 
+    def replace(self, df: DataFrame, value: str) -> None:
+        """Rows of ``df`` become the whole content of the partition ``value``."""
+        base = self.newest()
+        old = [] if base is None else [r.folder for r in self.entries(base).where(F.col("value") == F.lit(value)).select("folder").collect()]
+        if old or not df.isEmpty():
+            self._change(df, base, old)
+
     @staticmethod
     def _same(other: DataFrame, key: list[str]) -> tuple[DataFrame, Column]:
         """The key of ``other`` and the condition that a row has it."""

@@ -37,6 +37,7 @@ from studylake.sinks.snapshots import SnapshotTable
 
 FACT_PARTITION = "capture_date"
 STATE, STATE_PARTITION = "hour_state", "state_date"
+QUARANTINE, QUARANTINE_NEXT = "quarantine", "quarantine_next"
 STATE_KEY = [*C.HOUR_GROUP_KEYS, C.LOAD_BATCH]
 
 
@@ -48,6 +49,8 @@ def snapshots(spark: SparkSession, root: str, name: str) -> SnapshotTable:
     """The versioned table ``name`` of a warehouse: a fact, a reject table or the hourly state."""
     if name == STATE:
         return SnapshotTable(spark, table_path(root, name), schemas.HOUR_STATE, STATE_PARTITION)
+    if name in (QUARANTINE, QUARANTINE_NEXT):
+        return SnapshotTable(spark, table_path(root, name), schemas.QUARANTINE, C.LOAD_BATCH)
     schema = schemas.FACTS[name]
     return SnapshotTable(spark, table_path(root, name), schema, FACT_PARTITION if FACT_PARTITION in schema.fieldNames() else None)
 
@@ -77,13 +80,25 @@ def init_warehouse(spark: SparkSession, root: str, dims: Dims) -> dict[str, str]
     for name, df in dims.items():
         paths[name] = table_path(root, name)
         _write_static(schemas.conform_to(df, schemas.DIMENSIONS[name]), paths[name])
-    snapshots(spark, root, STATE).drop()
+    for name in (STATE, QUARANTINE, QUARANTINE_NEXT):
+        snapshots(spark, root, name).drop()
     for name, schema in schemas.FACTS.items():
         paths[name] = table_path(root, name)
         snapshots(spark, root, name).overwrite(spark.createDataFrame([], schema))
     return paths
 
 
+def replace_dimension(spark: SparkSession, root: str, name: str, df: DataFrame) -> None:
+    """Mend one dimension; facts stay.  Rows that it rejected are loaded by ``replay_quarantine``."""
+    _write_static(schemas.conform_to(df, schemas.DIMENSIONS[name]), table_path(root, name))
+
+
+def keep_rejected(spark: SparkSession, root: str, rows: DataFrame, batch_tag: str, name: str = QUARANTINE) -> None:
+    """D-6, C-3: the rejected rows of a batch with reason and source; a replay replaces them."""
+    own = schemas.conform_to(rows.withColumn(C.LOAD_BATCH, F.lit(batch_tag)), schemas.QUARANTINE)
+    snapshots(spark, root, name).replace(own, batch_tag)
+
+
 def append_events(spark: SparkSession, root: str, fact: DataFrame, dedup: bool = True) -> None:
     """K-4: append the event fact; with ``dedup`` rows already present (same business key) are skipped."""
     table = snapshots(spark, root, "f_intentional")
@@ -109,10 +124,14 @@ def upsert_passive(spark: SparkSession, root: str, fact: DataFrame) -> None:
 
 def other_state(spark: SparkSession, root: str, delta: DataFrame, batch_tag: str) -> DataFrame:
     """R-3: partial sums that other batches left for the days of ``delta`` (its own, of a run before a replay, are left out)."""
+    return state_of(spark, root, delta).filter(F.col(C.LOAD_BATCH) != batch_tag)
+
+
+def state_of(spark: SparkSession, root: str, groups: DataFrame) -> DataFrame:
+    """R-3: partial sums of all batches for the days of some hourly groups."""
     table = snapshots(spark, root, STATE)
-    days = delta.filter(F.col(C.TYPE_P) == C.HEART_RATE).select(capture_date_of_hour().alias(STATE_PARTITION))
-    folders = table.touched(days) if table.exists() else []
-    return table.read_folders(folders).filter(F.col(C.LOAD_BATCH) != batch_tag)
+    days = groups.filter(F.col(C.TYPE_P) == C.HEART_RATE).select(capture_date_of_hour().alias(STATE_PARTITION))
+    return table.read_folders(table.touched(days) if table.exists() else [])
 
 
 def add_state(spark: SparkSession, root: str, partials: DataFrame, batch_tag: str) -> None:

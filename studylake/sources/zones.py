@@ -7,7 +7,9 @@ needed.  Filters on partition columns prune folders at planning time.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from studylake import schemas
 
@@ -20,6 +22,28 @@ def read_conform(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CONFORM).parquet(path)
 
 
-def stream_refine(spark: SparkSession, path: str) -> DataFrame:
-    """Incremental refine source (S-4): new refine files only."""
-    return spark.readStream.schema(schemas.REFINE).parquet(path)
+def stream_refine(spark: SparkSession, path: str, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Incremental refine source (S-4): new refine files only, at most about ``max_bytes_per_trigger`` of them a micro-batch
+    (a larger file comes alone), so an existing zone is not taken in at once."""
+    r = spark.readStream.schema(schemas.REFINE)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    return r.parquet(path)
+
+
+def backlog(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """One row (files, bytes): what the load with this checkpoint has still to take from a zone.
+
+    The zone's file list is compared with the files that the stream has logged; no file is opened.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+             .select("path", "length"))
+    try:
+        log = spark.read.option("recursiveFileLookup", "true").text(f"{checkpoint.rstrip('/')}/sources/0")
+        seen = log.select(F.get_json_object("value", "$.path").alias("path")).filter(F.col("path").isNotNull())
+        files = files.join(seen.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")),
+                           "path", "left_anti") if path.startswith(("/", "file:")) else files.join(seen, "path", "left_anti")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0).cast("bigint")).alias("bytes"))

@@ -31,6 +31,8 @@ from studylake.sources.zones import stream_refine
 
 
 DEFAULT_MAX_FILES_PER_TRIGGER = 5000
+#: Refine files are columns and compressed: a micro-batch of so many bytes is some ten times as large as rows.
+DEFAULT_MAX_BYTES_PER_TRIGGER = 64 << 30
 
 
 def _finish(q, timeout_s: float | None) -> None:
@@ -84,15 +86,17 @@ def run_incremental(spark: SparkSession, raw_dir: str, zones: ZonePaths, dims: D
     run.complete()
 
 
-def refine_stream(spark: SparkSession, refine_dir: str) -> DataFrame:
+def refine_stream(spark: SparkSession, refine_dir: str, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """S-4: the refine zone as a stream of new files (for a separate facts job)."""
-    return stream_refine(spark, refine_dir)
+    return stream_refine(spark, refine_dir, max_bytes_per_trigger)
 
 
 def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root: str, checkpoint: str,
-                          timeout_s: float | None = None) -> None:
+                          timeout_s: float | None = None,
+                          max_bytes_per_trigger: int | None = DEFAULT_MAX_BYTES_PER_TRIGGER) -> None:
     """M-3 on its own schedule: each run loads the facts from refine files written since the last
-    run (S-4, R-1); heart-rate means add up over the batches by the warehouse's hourly state (R-3)."""
+    run (S-4, R-1), in micro-batches of at most ``max_bytes_per_trigger``; heart-rate means add up over them by
+    the warehouse's hourly state (R-3).  :func:`studylake.sources.zones.backlog` tells what is left to do."""
 
     run_key = _run_key(checkpoint)
     run = RunRejects(spark, root, run_key)
@@ -108,7 +112,7 @@ def run_incremental_facts(spark: SparkSession, refine_dir: str, dims: Dims, root
             delta.unpersist()
 
     run.begin()
-    q = (refine_stream(spark, refine_dir).writeStream.foreachBatch(handle)
+    q = (refine_stream(spark, refine_dir, max_bytes_per_trigger).writeStream.foreachBatch(handle)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _finish(q, timeout_s)
     run.complete()
