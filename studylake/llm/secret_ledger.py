@@ -140,8 +140,8 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[SecretRule]
     # spans of rule versions that are not asked for stay in the ledger, but do not count
     current = F.filter("spans", lambda x: F.array_contains(order, tag(x)))
     ranked = F.transform(current, lambda x: F.struct(x["start"].alias("start"), F.array_position(order, tag(x)).alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))
-    spans = (read_ledger(spark, ledger).where(F.size("spans") > 0).select("blob", ranked.alias("spans"))
-             .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")))
+    spans = (read_ledger(spark, ledger).where(F.size("spans") > 0).select("blob", F.explode(ranked).alias("span"))
+             .groupBy("blob").agg(F.array_sort(F.collect_set("span")).alias("spans")))
     kept = versions.drop("blob", "spans").withColumn("blob", F.sha2(text, 256))
     kept = kept if keep_text else kept.drop("text")
     return (kept.join(spans, "blob", "left")
