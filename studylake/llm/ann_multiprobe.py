@@ -1,13 +1,27 @@
 """Approximate nearest neighbours: multiprobe p-stable hashing.
 
-Unit vectors are hashed by TABLES functions, each of HASHES projections
+Unit vectors are hashed by TABLES functions, each of several projections
 floor((a.v + b) / WIDTH) with normal a (p-stable for the Euclidean distance,
-which orders unit vectors as the cosine does).  A query visits its own bucket
-and the PROBES - 1 perturbed buckets of best estimated success: a perturbation
-costs the squared distances to the cell borders that it crosses, and the order
-comes from the expected order statistics of those distances (Lv et al.,
-VLDB 2007).  All candidates are scored exactly, in double precision, on the
-original vectors.
+which orders unit vectors as the cosine does); the outermost cells are open.
+The number of projections grows with the logarithm of the points, so that
+buckets stay small.
+
+Projections of two unit vectors with cosine c are jointly normal with
+correlation c.  So the chance that a query's neighbour lies in a bucket, and
+the share of unrelated points there, are products over the projections.  A
+query visits its own and the perturbed buckets of all tables in the order of
+estimated success per point looked at (the ratio of the two), down to a least
+ratio.  Perturbed buckets are found projection by projection; a prefix that no
+completion can bring up to the least ratio is left.
+
+c and the least ratio are fitted on the exact neighbours of at most FIT_QUERIES
+queries among all points: c is the median cosine, and the ratio is such that
+RECALL of these neighbours are met.  This bounds the sample, not the search:
+every point is indexed, and a bucket has no cap.
+
+All candidates of a bucket are compared with all queries that visit it by one
+matrix product in double precision; what reaches a query's k best so far, less
+SLACK for rounding, is scored exactly on the original vectors.
 
 Equal vectors are one point with its smallest ids (one more than the answers
 asked for: no other copy can be among them, as ties go to smaller ids), and
@@ -27,7 +41,8 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
+import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,73 +51,96 @@ from pyspark.sql import functions as F
 
 from studylake.llm.common import _U, groups, mix, table, written
 
-TABLES, HASHES, WIDTH, PROBES = 12, 6, 1.2, 250
+TABLES, WIDTH = 16, 1.5
+#: Cells that reach beyond so many standard deviations are open.
+OPEN_FROM = 1.0
+#: Queries of the fit, and the share of their exact neighbours that the fitted ratio must meet.
+FIT_QUERIES, RECALL = 96, 0.95
 SEED = 20
-#: Points of a bin, queries of a slice and of a block: they set the size of a task's work, not the result.
-BIN_POINTS, SLICE, BLOCK = 16_384, 20_000, 4_096
-PAIRS = 50_000
+#: Points (times tables) of a bin, queries of a slice and of a block: they set the size of a task's work, not the result.
+BIN_POINTS, SLICE, BLOCK = 49_152, 5_000, 4_096
+PIECE, PAIRS, PENDING = 16_384, 50_000, 200_000
+SLACK = 1e-9
 
 
 def usable(v: Column) -> Column:
     return F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def perturbations(hashes: int, probes: int) -> np.ndarray:
-    """Sets of ranks (rows, -1 padded) in order of expected cost; rank r of 0..2M-1 is the r-th nearest border of a query."""
-    m = hashes
-    j = np.arange(1, 2 * m + 1)
-    near = j * (j + 1) / (4 * (m + 1) * (m + 2))
-    k = 2 * m + 1 - j
-    cost = np.where(j <= m, near, 1 - k / (m + 1) + k * (k + 1) / (4 * (m + 1) * (m + 2)))
-    out, heap = [()], [(cost[0], (0,))]
-    while heap and len(out) < probes:
-        c, s = heapq.heappop(heap)
-        if not any(2 * m - 1 - r in s for r in s):  # both borders of one projection can't be crossed
-            out.append(s)
-        if s[-1] + 1 < 2 * m:
-            nxt = s[-1] + 1
-            heapq.heappush(heap, (c - cost[s[-1]] + cost[nxt], (*s[:-1], nxt)))
-            heapq.heappush(heap, (c + cost[nxt], (*s, nxt)))
-    width = max(1, max(map(len, out)))
-    return np.array([[*s, *[-1] * (width - len(s))] for s in out])
+def normal_cdf(z: np.ndarray) -> np.ndarray:
+    """Standard normal distribution function (Abramowitz and Stegun 7.1.26, error under 2e-7)."""
+    u = np.abs(z) / math.sqrt(2)
+    t = 1 / (1 + 0.3275911 * u)
+    tail = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * np.exp(-u * u) / 2
+    return np.where(z < 0, tail, 1 - tail)
+
+
+def projections(points: int) -> int:
+    """Projections of a table for so many points: log2 over 2.2, at least four (three cells of width 1.5 tell about that many bits apart)."""
+    return max(4, round(math.log2(max(points, 1)) / 2.2))
+
+
+class Probing(NamedTuple):
+    """How far a query goes: projections of a table, fitted cosine of neighbours, least log ratio of a visited bucket."""
+
+    hashes: int
+    cosine: float
+    least: float
 
 
 class Hashes:
     """The hash functions for vectors of one length."""
 
-    def __init__(self, dim: int, tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES):
+    def __init__(self, dim: int, hashes: int, tables: int = TABLES, width: float = WIDTH):
         rng = np.random.default_rng([SEED, dim])
         self.dim, self.tables, self.hashes, self.width = dim, tables, hashes, width
         self.a = rng.normal(size=(dim, tables * hashes))
-        self.b = rng.uniform(0, width, tables * hashes)
-        self.sets = perturbations(hashes, probes)
+        self.b = rng.uniform(0, width, (tables, hashes))
+        self.last = max(1, math.ceil(OPEN_FROM / width))
+        inner = np.arange(1 - self.last, self.last + 1) * width - self.b[..., None]
+        self.edges = np.concatenate([np.full((tables, hashes, 1), -np.inf), inner, np.full((tables, hashes, 1), np.inf)], axis=-1)
+        self.start = mix(np.arange(tables, dtype=_U) + _U(dim << 16))
+        self.cell = np.arange(2 * self.last + 1).astype(_U)
 
     def places(self, unit: np.ndarray) -> np.ndarray:
-        return ((unit @ self.a + self.b) / self.width).reshape(len(unit), self.tables, self.hashes)
+        return (unit @ self.a).reshape(len(unit), self.tables, self.hashes)
+
+    def cells(self, unit: np.ndarray) -> np.ndarray:
+        """(vector, table, projection) cells, from 0."""
+        at = np.floor((self.places(unit) + self.b) / self.width).astype(np.int64)
+        return np.clip(at, -self.last, self.last) + self.last
 
     def keys(self, cells: np.ndarray) -> np.ndarray:
-        """Bucket keys of cells (..., table, hashes)."""
-        acc = mix(np.arange(self.tables, dtype=_U) + _U(self.dim << 16))
-        acc = np.broadcast_to(acc, cells.shape[:-1]).copy()
-        for k in range(self.hashes):
-            acc = mix(acc ^ cells[..., k].astype(np.int64).view(_U))
+        """(vector, table) bucket keys."""
+        acc = np.broadcast_to(self.start, cells.shape[:-1])
+        for m in range(self.hashes):
+            acc = mix(acc ^ self.cell[cells[..., m]])
         return acc
 
-    def probes(self, unit: np.ndarray) -> np.ndarray:
-        """(query, probe, table) bucket keys, best first."""
-        at = self.places(unit)
-        cell = np.floor(at)
-        part = at - cell
-        border = np.concatenate([part, 1 - part], axis=-1)
-        order = np.argsort(border, axis=-1, kind="stable")
-        out = np.empty((len(unit), len(self.sets), self.tables), dtype=_U)
-        for k, ranks in enumerate(self.sets):
-            c = cell.copy()
-            for r in ranks[ranks >= 0]:
-                which = order[..., r]
-                np.put_along_axis(c, (which % self.hashes)[..., None], np.take_along_axis(c, (which % self.hashes)[..., None], -1) + np.where(which < self.hashes, -1, 1)[..., None], -1)
-            out[:, k] = self.keys(c)
-        return out
+    def gains(self, unit: np.ndarray, cosine: float) -> np.ndarray:
+        """(vector, table, projection, cell) log ratios: chance of a neighbour there over the share of unrelated points."""
+        mean = cosine * self.places(unit)[..., None]
+        near = np.diff(normal_cdf((self.edges - mean) / math.sqrt(1 - cosine * cosine)), axis=-1)
+        far = np.diff(normal_cdf(self.edges), axis=-1)
+        return np.log(np.maximum(near, 1e-6)) - np.log(np.maximum(far, 1e-6))
+
+    def reached(self, unit: np.ndarray, neighbours: np.ndarray, cosine: float) -> np.ndarray:
+        """For every pair of rows, the largest log ratio of a table's bucket that holds the neighbour."""
+        gain = np.take_along_axis(self.gains(unit, cosine), self.cells(neighbours)[..., None], -1)[..., 0]
+        return gain.sum(-1).max(-1)
+
+    def probes(self, unit: np.ndarray, to: Probing) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, key) of all buckets whose log ratio is at least the fitted one."""
+        gain = self.gains(unit, to.cosine).reshape(len(unit) * self.tables, self.hashes, -1)
+        best = gain.max(-1)
+        rest = np.concatenate([np.cumsum(best[:, ::-1], axis=1)[:, ::-1], np.zeros((len(best), 1))], axis=1)
+        own = np.flatnonzero(rest[:, 0] >= to.least - SLACK)
+        total, key = np.zeros(len(own)), self.start[own % self.tables]
+        for m in range(self.hashes):
+            longer = total[:, None] + gain[own, m]
+            row, cell = np.nonzero(longer + rest[own, m + 1][:, None] >= to.least - SLACK)
+            own, total, key = own[row], longer[row, cell], mix(key[row] ^ self.cell[cell])
+        return own // self.tables, key
 
 
 def _vectors(col) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +189,10 @@ def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.n
 FOUND = "query bigint, vec_id bigint, score double"
 
 
-def _rows_of_points(points: DataFrame, bins: int) -> DataFrame:
+ROWS = "bin bigint, kind int, keys array<bigint>, ids array<bigint>, v array<double>"
+
+
+def _rows_of_points(points: DataFrame, bins: int, hashes: int) -> DataFrame:
     """A row for each point and table: (bin, kind 1, keys: its bucket, ids, v)."""
     def run(batches):
         made: dict[int, Hashes] = {}
@@ -159,99 +200,133 @@ def _rows_of_points(points: DataFrame, bins: int) -> DataFrame:
             for lo in range(0, b.num_rows, 2000):
                 part = b.slice(lo, 2000)
                 for rows, x in _by_length(part.column("v")):
-                    h = made.setdefault(x.shape[1], Hashes(x.shape[1]))
-                    key = h.keys(np.floor(h.places(_unit(x))))
+                    h = made.setdefault(x.shape[1], Hashes(x.shape[1], hashes))
+                    flat = h.keys(h.cells(_unit(x))).ravel()
                     take = pa.array(np.repeat(rows, h.tables))
-                    flat = key.ravel()
                     yield pa.RecordBatch.from_arrays([
                         pa.array((flat % _U(bins)).astype(np.int64)), pa.array(np.ones(len(flat), dtype=np.int32)),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1), pa.int32()), pa.array(flat.view(np.int64))),
                         part.column("ids").take(take), part.column("v").take(take)], ["bin", "kind", "keys", "ids", "v"])
 
-    return points.mapInArrow(run, "bin bigint, kind int, keys array<bigint>, ids array<bigint>, v array<double>")
+    return points.mapInArrow(run, ROWS)
 
 
-def _rows_of_queries(queries: DataFrame, bins: int) -> DataFrame:
+def _rows_of_queries(queries: DataFrame, bins: int, to: Probing) -> DataFrame:
     """A row for each query and bin that it visits: (bin, kind 0, keys: the buckets there, ids: its own, v)."""
     def run(batches):
         made: dict[int, Hashes] = {}
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
+            for lo in range(0, b.num_rows, 50):
+                part = b.slice(lo, 50)
                 for rows, x in _by_length(part.column("v")):
-                    h = made.setdefault(x.shape[1], Hashes(x.shape[1]))
-                    key = h.probes(_unit(x)).reshape(len(x), -1)
-                    own = np.repeat(rows, key.shape[1])
-                    flat = key.ravel()
-                    to = (flat % _U(bins)).astype(np.int64)
-                    o = np.lexsort((to, own))
-                    own, to, flat = own[o], to[o], flat[o]
-                    first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (to[1:] != to[:-1])])
-                    take = pa.array(own[first])
+                    h = made.setdefault(x.shape[1], Hashes(x.shape[1], to.hashes))
+                    row, flat = h.probes(_unit(x), to)
+                    if not len(flat):
+                        continue
+                    bin_ = (flat % _U(bins)).astype(np.int64)
+                    o = np.argsort(row * bins + bin_, kind="stable")
+                    row, bin_, flat = row[o], bin_[o], flat[o]
+                    first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (bin_[1:] != bin_[:-1])])
+                    take = pa.array(rows[row[first]])
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(to[first]), pa.array(np.zeros(len(first), dtype=np.int32)),
+                        pa.array(bin_[first]), pa.array(np.zeros(len(first), dtype=np.int32)),
                         pa.ListArray.from_arrays(pa.array(np.r_[first, len(flat)], pa.int32()), pa.array(flat.view(np.int64))),
                         part.column("ids").take(take), part.column("v").take(take)], ["bin", "kind", "keys", "ids", "v"])
 
-    return queries.mapInArrow(run, "bin bigint, kind int, keys array<bigint>, ids array<bigint>, v array<double>")
+    return queries.mapInArrow(run, ROWS)
+
+
+class _Asked:
+    """The queries of one slot: vectors by length, buckets in key order, and the best found so far."""
+
+    def __init__(self, rows: pa.Table, k: int):
+        rows = rows.combine_chunks()
+        self.k, self.id = k, rows["ids"].combine_chunks().flatten().to_numpy()
+        self.by_length = {q.shape[1]: (r, q, _unit(q)) for r, q in _by_length(rows["v"])}
+        self.place = np.zeros(len(rows), dtype=np.int64)
+        for r, _, _ in self.by_length.values():
+            self.place[r] = np.arange(len(r))
+        keys = rows["keys"].combine_chunks()
+        key, own = keys.flatten().to_numpy(), np.repeat(np.arange(len(rows)), np.diff(keys.offsets.to_numpy()))
+        o = np.argsort(key, kind="stable")
+        self.key, self.own = key[o], own[o]
+        self.floor = np.full(len(rows), -np.inf)
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.pending = 0
+
+    def _settle(self) -> None:
+        """Keeps the k best of every query, and raises the score that others must reach."""
+        if not self.held:
+            return
+        own, vec, score = (np.concatenate(c) for c in zip(*self.held))
+        keep = _best(own, vec, score, self.k)
+        own, vec, score = own[keep], vec[keep], score[keep]
+        last = np.flatnonzero(np.r_[own[1:] != own[:-1], True])
+        full = np.bincount(own, minlength=len(self.id))[own[last]] == self.k
+        self.floor[own[last][full]] = score[last][full]
+        self.held, self.pending = [(own, vec, score)], 0
+
+    def meet(self, part: pa.Table) -> None:
+        """Compares the points of ``part`` with the queries that visit their buckets."""
+        keys = part["keys"].combine_chunks().flatten().to_numpy()
+        ids = part["ids"].combine_chunks()
+        id_off, id_flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()
+        for xr, x in _by_length(part["v"]):
+            if x.shape[1] not in self.by_length:
+                continue
+            _, q, unit_q = self.by_length[x.shape[1]]
+            o = np.argsort(keys[xr], kind="stable")
+            xr, x = xr[o], x[o]
+            unit_x, key = _unit(x), keys[xr]
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            lo, hi = np.searchsorted(self.key, key[first], "left"), np.searchsorted(self.key, key[first], "right")
+            end = np.r_[first[1:], len(key)]
+            for j in np.flatnonzero(hi > lo):  # one product a bucket
+                own = self.own[lo[j]:hi[j]]
+                near = unit_q[self.place[own]] @ unit_x[first[j]:end[j]].T
+                qi, xi = np.nonzero(near >= self.floor[own][:, None] - SLACK)
+                if not len(qi):
+                    continue
+                own, at = own[qi], first[j] + xi
+                s = scores(q, x, self.place[own], at)
+                n = id_off[xr[at] + 1] - id_off[xr[at]]
+                if (n == 1).all():
+                    vec = id_flat[id_off[xr[at]]]
+                else:
+                    vec = id_flat[np.repeat(id_off[xr[at]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                    own, s = np.repeat(own, n), np.repeat(s, n)
+                self.held.append((own, vec, s))
+                self.pending += len(own)
+                if self.pending > PENDING:
+                    self._settle()
+
+    def found(self) -> pa.RecordBatch:
+        self._settle()
+        own, vec, score = self.held[0] if self.held else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+        return pa.RecordBatch.from_arrays([pa.array(self.id[own]), pa.array(vec), pa.array(score)], ["query", "vec_id", "score"])
 
 
 def _matched(rows: DataFrame, k: int) -> DataFrame:
-    """The k best found in every bin, from rows with the queries of a bin before its points."""
-    schema = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-
-    def pairs(queries, part):
-        """(query row, point row) of the points that lie in buckets which a query visits, by vector length."""
-        for qr, q in queries["sets"]:
-            for xr, x in _by_length(part["v"]):
-                if q.shape[1] != x.shape[1]:
-                    continue
-                key = part["keys"].combine_chunks().flatten().to_numpy()[xr]
-                o = np.argsort(key, kind="stable")
-                lo, hi = np.searchsorted(key[o], queries["key"], "left"), np.searchsorted(key[o], queries["key"], "right")
-                n = np.where(np.isin(queries["own"], qr), hi - lo, 0)
-                own = np.repeat(queries["own"], n)
-                at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                back = np.zeros(queries["n"], dtype=np.int64)
-                back[qr] = np.arange(len(qr))
-                yield q, x, back[own], o[at], own, xr[o[at]]
-
+    """The k best found in every slot, from rows with the queries of a slot before its points."""
     def run(batches):
-        def split():
-            for b in batches:  # a bin's points come in pieces of bounded size
-                for lo in range(0, b.num_rows, BIN_POINTS):
-                    yield b.slice(lo, BIN_POINTS)
-
-        current, queries = None, None
-        for b in split():
-            for t in groups(iter([b]), "slot"):
-                slot = t["slot"][0].as_py()
-                if slot != current:
-                    current, queries, held = slot, None, []
-                kind = t["kind"].to_numpy()
-                cut = int(np.searchsorted(kind, 1))
-                if cut:
-                    held.append(t.slice(0, cut))
-                if cut == len(kind) or not held:
-                    continue
-                if queries is None:
-                    asked = pa.concat_tables(held).combine_chunks()
-                    keys = asked["keys"].combine_chunks()
-                    queries = {"n": len(asked), "id": asked["ids"].combine_chunks().flatten().to_numpy(), "sets": list(_by_length(asked["v"])),
-                               "key": keys.flatten().to_numpy(), "own": np.repeat(np.arange(len(asked)), np.diff(keys.offsets.to_numpy()))}
-                part = t.slice(cut)
-                ids = part["ids"].combine_chunks()
-                id_off = ids.offsets.to_numpy() - ids.offsets[0].as_py()
-                id_flat = ids.flatten().to_numpy()
-                for q, x, qi, xi, own, row in pairs(queries, part):
-                    if not len(qi):
+        current, asked, held = None, None, []
+        for b in batches:  # a slot's points come in pieces of bounded size
+            for piece in (b.slice(lo, PIECE) for lo in range(0, b.num_rows, PIECE)):
+                for t in groups(iter([piece]), "slot"):
+                    slot = t["slot"][0].as_py()
+                    if slot != current:
+                        if asked is not None:
+                            yield asked.found()
+                        current, asked, held = slot, None, []
+                    cut = int(np.searchsorted(t["kind"].to_numpy(), 1))
+                    if cut:
+                        held.append(t.slice(0, cut))
+                    if cut == len(t) or not held:
                         continue
-                    s = scores(q, x, qi, xi)
-                    n = id_off[row + 1] - id_off[row]
-                    vec = id_flat[np.repeat(id_off[row], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                    query, s = queries["id"][np.repeat(own, n)], np.repeat(s, n)
-                    keep = _best(query, vec, s, k)
-                    yield pa.RecordBatch.from_arrays([pa.array(query[keep]), pa.array(vec[keep]), pa.array(s[keep])], schema=schema)
+                    asked = asked or _Asked(pa.concat_tables(held), k)
+                    asked.meet(t.slice(cut))
+        if asked is not None:
+            yield asked.found()
 
     return rows.repartition("slot").sortWithinPartitions("slot", "kind").mapInArrow(run, FOUND)
 
@@ -300,6 +375,26 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def fit(points: DataFrame, queries: DataFrame, n: int, k: int) -> Probing:
+    """Probing for ``n`` points: from the exact neighbours of at most FIT_QUERIES queries among all points."""
+    hashes = projections(n)
+    sample = written(queries.orderBy(F.xxhash64("ids"), "ids").limit(FIT_QUERIES), "ann-sample")
+    near = _top(_against_all(sample, points, FIT_QUERIES, k + 1).where("query != vec_id"), k).select("query", "vec_id")
+    near = written(near, "ann-sample-near")  # at most FIT_QUERIES * k rows
+    theirs = points.select(F.explode("ids").alias("vec_id"), F.col("v").alias("w")).join(F.broadcast(near), "vec_id")
+    pairs = theirs.join(F.broadcast(sample.select(F.col("ids")[0].alias("query"), "v")), "query").select("v", "w").collect()
+    by_dim: dict[int, list] = {}
+    for v, w in pairs:
+        by_dim.setdefault(len(v), []).append((v, w))
+    units = {d: (_unit(np.array([v for v, _ in p])), _unit(np.array([w for _, w in p]))) for d, p in by_dim.items()}
+    if not units:
+        return Probing(hashes, 0.5, 0.0)
+    cosines = np.concatenate([np.einsum("ij,ij->i", q, x) for q, x in units.values()])
+    cosine = float(np.clip(np.median(cosines), 0.05, 0.98))
+    reached = np.concatenate([Hashes(d, hashes).reached(q, x, cosine) for d, (q, x) in units.items()])
+    return Probing(hashes, cosine, float(np.quantile(reached, 1 - RECALL)))
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row of ``vectors`` (vec_id, embedding) that ``is_query`` marks."""
     rows = (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", F.coalesce(is_query, F.lit(False)).alias("asks"))
@@ -310,8 +405,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     points = written(once.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-points")
     asking = rows.where("asks").select("vec_id", "v").distinct()
     queries = written(asking.groupBy("v").agg(F.array(F.min("vec_id")).alias("ids")), "ann-queries")
-    bins = max(1, -(-points.count() // BIN_POINTS))
-    p, q = _rows_of_points(points, bins), _rows_of_queries(queries, bins)
+    n = points.count()
+    to = fit(points, queries, n, k)
+    bins = max(1, -(-n * TABLES // BIN_POINTS))
+    p, q = _rows_of_points(points, bins, to.hashes), _rows_of_queries(queries, bins, to)
     slices = q.groupBy("bin").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
     p = p.join(slices, "bin").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)))
     q = q.join(slices, "bin").withColumn("part", F.pmod(F.xxhash64("ids"), F.col("slices")))
