@@ -162,7 +162,7 @@ class ChunkEncoder:
 
 
 def _routes(documents: DataFrame) -> DataFrame:
-    """``documents`` with the column route: texts with one smallest chunk hash share it, unless that is hot."""
+    """``documents`` with the column __route: texts with one smallest chunk hash share it, unless that is hot."""
 
     def keys(column) -> list[int]:
         data, off = string_buffers(column)
@@ -181,7 +181,7 @@ def _routes(documents: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            at = b.schema.get_field_index("route")
+            at = b.schema.get_field_index("__route")
             key = np.array([k for lo in range(0, b.num_rows, 250) for k in keys(b.column("text").slice(lo, 250))], dtype=np.int64)
             salt = b.column(at).to_numpy().copy()
             for i, k in enumerate(key.tolist()):
@@ -190,7 +190,7 @@ def _routes(documents: DataFrame) -> DataFrame:
 
     # the salt is a hash of the row, so a task that runs again deals its rows out as before
     plain = [c for c, kind in documents.dtypes if "map<" not in kind and kind != "variant"]
-    return documents.withColumn("route", F.xxhash64(*plain)).mapInArrow(run, StructType(list(documents.schema.fields)).add("route", LongType()))
+    return documents.withColumn("__route", F.xxhash64(*plain)).mapInArrow(run, StructType(list(documents.schema.fields)).add("__route", LongType()))
 
 
 def encoded(documents: DataFrame, path: str | None = None, ids: bool = False) -> DataFrame:
@@ -201,7 +201,7 @@ def encoded(documents: DataFrame, path: str | None = None, ids: bool = False) ->
     """
     small_batches(documents.sparkSession)
     path = path or default_path()
-    source = documents.drop("route", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+    source = documents.drop("__route", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
     schema = StructType(list(source.schema.fields)).add("n_tokens", LongType()).add("ids_sha256", StringType()).add("decoded_sha256", StringType())
     schema = schema.add("ids", ArrayType(IntegerType())) if ids else schema
 
@@ -219,10 +219,10 @@ def encoded(documents: DataFrame, path: str | None = None, ids: bool = False) ->
                     d.append(hashlib.sha256(bpe.decode(x).encode()).hexdigest())
                     if ids:
                         got.append(x)
-                out = part.drop_columns(["route"]).append_column("n_tokens", pa.array(n, pa.int64())).append_column("ids_sha256", pa.array(a, pa.string())).append_column("decoded_sha256", pa.array(d, pa.string()))
+                out = part.drop_columns(["__route"]).append_column("n_tokens", pa.array(n, pa.int64())).append_column("ids_sha256", pa.array(a, pa.string())).append_column("decoded_sha256", pa.array(d, pa.string()))
                 yield out.append_column("ids", pa.array(got, pa.list_(pa.int32()))) if ids else out
 
-    return _routes(source).repartition("route").mapInArrow(run, schema)
+    return _routes(source).repartition("__route").mapInArrow(run, schema)
 
 
 def decoded(frame: DataFrame, path: str | None = None) -> DataFrame:
