@@ -328,7 +328,8 @@ def _matched(rows: DataFrame, k: int) -> DataFrame:
         if asked is not None:
             yield asked.found()
 
-    return rows.repartition("slot").sortWithinPartitions("slot", "kind").mapInArrow(run, FOUND)
+    # points by bucket, so that a bucket's points come in one piece and its queries are looked up once
+    return rows.repartition("slot").sortWithinPartitions("slot", "kind", F.col("keys")[0]).mapInArrow(run, FOUND)
 
 
 def _against_all(short: DataFrame, points: DataFrame, n: int, k: int) -> DataFrame:
