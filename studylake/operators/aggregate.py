@@ -91,22 +91,32 @@ def partials_before(history: DataFrame, delta: DataFrame) -> DataFrame:
             .agg(F.sum("hb_sum").alias("hb_sum"), F.sum("hb_count").alias("hb_count")).filter(F.col("hb_count") > 0))
 
 
+def hour_sums(delta: DataFrame) -> DataFrame:
+    """A-2 and R-3 in one pass over a batch: per hourly group ``rec_count`` and the batch's own (hb_sum, hb_count)."""
+    beat = F.when(F.col(C.TYPE_P) == C.HEART_RATE, F.col(C.HEART_BEAT))
+    return passive_rows(delta).groupBy(*C.HOUR_GROUP_KEYS).agg(
+        F.count(F.lit(1)).alias("rec_count"), F.sum(beat).alias("hb_sum"), F.count(beat).alias("hb_count"))
+
+
+def partials_of(sums: DataFrame) -> DataFrame:
+    """:func:`hour_partials` of a batch from its :func:`hour_sums`."""
+    hr = sums.filter((F.col(C.TYPE_P) == C.HEART_RATE) & (F.col("hb_count") > 0))
+    return hr.select(*C.HOUR_GROUP_KEYS, "hb_sum", "hb_count").withColumn("state_date", capture_date_of_hour())
+
+
 def merged_hours(delta: DataFrame, state: DataFrame) -> DataFrame:
     """J-11 from stored state: as :func:`affected_hours`, with ``state`` the partials of all *other* batches."""
-    batch = passive_rows(delta).groupBy(*C.HOUR_GROUP_KEYS).agg(
-        F.count(F.lit(1)).alias("rec_count"),
-        F.sum(F.when(F.col(C.TYPE_P) == C.HEART_RATE, F.col(C.HEART_BEAT))).alias("hb_sum"),
-        F.count(F.when(F.col(C.TYPE_P) == C.HEART_RATE, F.col(C.HEART_BEAT))).alias("hb_count"))
-    return _merged(batch, state)
+    return merged_sums(hour_sums(delta), state)
 
 
 def groups_with_state(groups: DataFrame, state: DataFrame) -> DataFrame:
     """Known hourly groups (keys, ``rec_count``), such as rejected ones, with the mean of all that ``state`` holds of them."""
     own = groups.select(*C.HOUR_GROUP_KEYS, "rec_count", F.lit(None).cast("double").alias("hb_sum"), F.lit(0).cast("long").alias("hb_count"))
-    return _merged(own, state)
+    return merged_sums(own, state)
 
 
-def _merged(batch: DataFrame, state: DataFrame) -> DataFrame:
+def merged_sums(batch: DataFrame, state: DataFrame) -> DataFrame:
+    """:func:`merged_hours` of a batch's :func:`hour_sums`."""
     before = state.select(*C.HOUR_GROUP_KEYS, F.lit(0).cast("long").alias("rec_count"), "hb_sum", "hb_count")
     return (batch.unionByName(before).groupBy(*C.HOUR_GROUP_KEYS)
             .agg(F.sum("rec_count").alias("rec_count"), F.sum("hb_sum").alias("hb_sum"), F.sum("hb_count").alias("hb_count"))

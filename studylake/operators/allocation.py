@@ -24,6 +24,10 @@ table nothing changes, and all later years share its band.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +84,21 @@ def disjoint_periods(allocation: DataFrame) -> DataFrame:
                         F.col("who.siteid").alias("siteid"), F.col("who.allocationid").alias("allocationid"))
 
 
+@contextmanager
+def settled(dims: Dims) -> Iterator[None]:
+    """Inside, all plans of a load share one persisted settlement of the overlaps.  May be nested."""
+    if "settled" in dims._derived:
+        yield
+        return
+    segs = dims.derived("disjoint_allocation", lambda d: disjoint_periods(d.d_allocation))
+    dims.derived("settled", lambda _: segs.persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        yield
+    finally:
+        del dims._derived["settled"]
+        segs.unpersist(blocking=True)
+
+
 def allocate_site(df: DataFrame, dims: Dims, date_col: str, out: str = "siteid") -> DataFrame:
     """Add ``out`` = site of the allocation holding ``df[date_col]`` for the row's ids, 0 when none."""
     segs = dims.derived("disjoint_allocation", lambda d: disjoint_periods(d.d_allocation))

@@ -20,11 +20,13 @@ from studylake import constants as C
 from studylake import schemas
 from studylake.dims import Dims
 from studylake.operators import facts
-from studylake.operators.aggregate import groups_with_state, hour_partials, partials_before
+from studylake.operators.aggregate import groups_with_state, hour_sums, merged_sums, partials_before, partials_of
+from studylake.operators.allocation import settled
 from studylake.operators.normalise import accepted, normalise, rejected
 from studylake.operators.rejects import (accepted_groups, merge_partials, partial_rejects, quarantine_rows, reject_rows, rows_of_stage,
                                          summary_allocation_errors)
 from studylake.sinks import warehouse
+from studylake.sinks.snapshots import SnapshotTable
 from studylake.sinks.zones import write_conform, write_refine
 from studylake.sources.zones import read_refine
 
@@ -97,17 +99,24 @@ def load_facts(spark: SparkSession, delta: DataFrame, history: DataFrame | None,
     the batch's.  The rejected rows themselves, with ``bad`` of the stage before, are kept in the table
     ``quarantine`` (see :func:`replay_quarantine`).
     """
-    tag = batch_tag or uuid.uuid4().hex
+    with settled(dims):
+        return _load_facts(spark, delta, history, dims, root, extra_rejects, append_only, run, batch_tag or uuid.uuid4().hex, bad, quarantine)
+
+
+def _load_facts(spark: SparkSession, delta: DataFrame, history: DataFrame | None, dims: Dims, root: str, extra_rejects: DataFrame | None,
+                append_only: bool, run: warehouse.RunRejects | None, tag: str, bad: DataFrame | None, quarantine: str) -> dict[str, DataFrame]:
     if history is not None and not warehouse.snapshots(spark, root, warehouse.STATE).exists():
         warehouse.add_state(spark, root, partials_before(history, delta), "before")
     ev = facts.resolve_events(delta, dims).persist(StorageLevel.MEMORY_AND_DISK)
+    # all that the hourly fact and the state need of the batch, so its rows are read once for them
+    sums = hour_sums(schemas.conform_to(delta, schemas.REFINE)).persist(StorageLevel.MEMORY_AND_DISK)
     pv = None
     try:
-        state = warehouse.other_state(spark, root, delta, tag)
-        pv = facts.resolve_passive(delta, dims, state=state).persist(StorageLevel.MEMORY_AND_DISK)
+        state = warehouse.other_state(spark, root, sums, tag)
+        pv = facts.resolve_groups(merged_sums(sums, state), dims).persist(StorageLevel.MEMORY_AND_DISK)
         warehouse.append_events(spark, root, facts.event_fact(ev), dedup=not append_only)
         warehouse.upsert_passive(spark, root, facts.passive_fact(pv))
-        warehouse.add_state(spark, root, hour_partials(delta), tag)
+        warehouse.add_state(spark, root, partials_of(sums), tag)
         rows = reject_rows(ev, "event").unionByName(reject_rows(pv, "passive", "rec_count"))
         if extra_rejects is not None:
             rows = rows.unionByName(extra_rejects)
@@ -120,6 +129,7 @@ def load_facts(spark: SparkSession, delta: DataFrame, history: DataFrame | None,
                                   summary_allocation_errors(warehouse.read_table(spark, root, "rejects")))
     finally:
         ev.unpersist(blocking=True)
+        sums.unpersist(blocking=True)
         if pv is not None:
             pv.unpersist(blocking=True)
     return {name: warehouse.read_table(spark, root, name)
@@ -163,6 +173,12 @@ def replay_quarantine(spark: SparkSession, zones: ZonePaths, dims: Dims, root: s
     raw = rows_of_stage(rows, "refine")
     following = warehouse.snapshots(spark, root, warehouse.QUARANTINE_NEXT)
     following.drop()
+    with settled(dims):
+        _replay(spark, rows, raw, zones, dims, root, mend, tag, table, following)
+
+
+def _replay(spark: SparkSession, rows: DataFrame, raw: DataFrame, zones: ZonePaths, dims: Dims, root: str, mend: Callable[[DataFrame], DataFrame] | None,
+            tag: str, table: SnapshotTable, following: SnapshotTable) -> None:
     run_batch(spark, mend(raw) if mend else raw, zones, dims, root, batch_tag=tag, quarantine=warehouse.QUARANTINE_NEXT)
     ev = facts.resolve_events(rows_of_stage(rows, "event"), dims).persist(StorageLevel.MEMORY_AND_DISK)
     groups = rows_of_stage(rows, "passive").groupBy(*C.HOUR_GROUP_KEYS).agg(F.sum("rec_count").alias("rec_count"))
