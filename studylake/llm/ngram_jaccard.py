@@ -8,7 +8,10 @@ texts link when ``den * |A & B| >= num * |A | B|``.  The steps:
    shingles in which two sets differ.  Inside a band of sizes, the hash space
    is cut into more parts than can differ, so two linked sets agree in a
    non-empty part.  Part hashes lead every set to the sets it may link with,
-   and losing a link is impossible (see ``parts``).
+   and losing a link is impossible (see ``parts``).  There are more parts than
+   that needs, so every set leaves out its most popular ones: passages that
+   many texts share do not lead them to each other.  What is popular is learnt
+   on a bounded sample; it decides the order of parts, not the result.
 3. *Families.*  Connected components over equal parts; no link leaves one.
 4. *Tiles.*  A family is cut by bands of sizes and hash into blocks of bounded
    bytes; pairs of blocks whose sizes can link are the tiles, dealt out over all
@@ -46,6 +49,12 @@ SHINGLE = 3
 BAND_RATIO = 1.5
 #: Parts are added until a set seldom (beyond so many deviations) has so many empty parts that they must be emitted.
 SPREAD = 3.1
+#: So many times as many parts are cut: the surplus is what a set can leave out.
+FINER = 2
+#: Texts (about), shingles of a text, and shingles kept as popular: bounds of the sample.  They set how many texts meet, not the result.
+SAMPLE_TEXTS = 1 << 14
+SAMPLE_SHINGLES = 1 << 11
+POPULAR = 1 << 18
 #: Bounds of a block: shingles (8 bytes each) and members.  They set the size of a task's work, not the result.
 BLOCK_SHINGLES = 1 << 20
 BLOCK_MEMBERS = 1024
@@ -74,7 +83,7 @@ class Bands:
             spare = 0
             while d and self._empties(lo, d + 1 + spare) >= spare + 1:
                 spare += 1
-            self.parts[-1] = d + 1 + spare
+            self.parts[-1] = FINER * (d + 1 + spare)
             self.start.append(hi + 1)
             self.parts.append(0)
 
@@ -90,7 +99,7 @@ class Bands:
         return mean + SPREAD * math.sqrt(max(0.0, k * none * (1 - (1 + size / k) * none)))
 
     def of(self, size: int) -> list[tuple[int, int, int]]:
-        """(band, parts, parts that must agree) in which a set of this size has to appear: its own, and the next if a partner can be there."""
+        """(band, parts, most parts that differ) in which a set of this size has to appear: its own, and the next if a partner can be there."""
         largest = size * self.den // self.num
         self._grow(largest)
         own, far = bisect.bisect_right(self.start, size) - 1, bisect.bisect_right(self.start, largest) - 1
@@ -98,27 +107,69 @@ class Bands:
         for b in range(own, far + 1):
             d = self.differ(self.start[b + 1] - 1)
             if d:  # else only equal sets can link there, and those are one set already
-                out.append((b, self.parts[b], self.parts[b] - d))
+                # a partner has size * den / num shingles at most, which bounds the difference by the set's own size
+                out.append((b, self.parts[b], min(d, size * (self.den - self.num) // self.num)))
         return out
 
 
-def parts(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """Part hashes of a sorted set.
+Popular = tuple[np.ndarray, np.ndarray]
+NONE_POPULAR: Popular = np.zeros(0, dtype=_U), np.zeros(0, dtype=np.int64)
 
-    Of k parts, at least k - d agree between linked sets (d: the most shingles
-    that can differ).  If the set has fewer than k - d empty parts, one of
-    those that agree is not empty, and empty parts need not be emitted.  Else
-    they are, so that agreeing in empty parts is found too.
+
+def popular(documents: DataFrame, n: int) -> Popular:
+    """(sorted shingle hashes, number of texts) of the shingles that several texts of a sample hold, the most frequent POPULAR at most.
+
+    The tasks make the sample's sets, at most SAMPLE_SHINGLES of a set; one task counts them.
+    """
+    def some(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 250):
+                sets = [s[:SAMPLE_SHINGLES].tobytes() for s in sets_of(b.column("text").slice(lo, 250), n)]
+                yield pa.RecordBatch.from_arrays([pa.array([b"".join(sets)], pa.binary())], ["shingles"])
+
+    def count(batches):
+        held = [np.frombuffer(x.as_buffer(), dtype=_U) for b in batches for x in b.column("shingles")]
+        if held:
+            shingle, texts = np.unique(np.concatenate(held), return_counts=True)
+            most = np.sort(np.argsort(-texts, kind="stable")[:min(POPULAR, int((texts > 1).sum()))])
+            yield pa.RecordBatch.from_arrays([pa.array([shingle[most].tobytes()], pa.binary()), pa.array([texts[most].astype(np.int64).tobytes()], pa.binary())], ["shingles", "texts"])
+
+    rows = documents.count()
+    texts = documents.select("text")
+    got = (texts.sample(SAMPLE_TEXTS / rows, 1) if rows > SAMPLE_TEXTS else texts).mapInArrow(some, "shingles binary").repartition(1).mapInArrow(count, "shingles binary, texts binary").collect()
+    return (np.frombuffer(got[0]["shingles"], dtype=_U), np.frombuffer(got[0]["texts"], dtype=np.int64)) if got else NONE_POPULAR
+
+
+def parts(shingles: np.ndarray, bands: Bands, known: Popular = NONE_POPULAR) -> np.ndarray:
+    """Part hashes of a sorted set: of its non-empty parts the d + 1 that come first, least popular ones before others.
+
+    Linked sets agree in all but d parts (d: the most shingles that can
+    differ).  So of two linked sets' non-empty parts at most d differ, and a
+    set's first d + 1 hold one that agrees.  The order is one of the parts'
+    contents, the same for all sets: of the two sets, the one whose first parts
+    end earlier holds an agreeing part that is among the other's first too,
+    whatever the order is.  It goes by the ``known`` number of texts of a part's
+    rarest shingle, then by size, as large parts seldom agree by chance.
+
+    A set with d non-empty parts or fewer emits all parts, so that agreeing in
+    empty parts is found too.
     """
     out = []
+    texts = np.zeros(len(shingles), dtype=np.int64)
+    if len(known[0]):
+        at = np.minimum(np.searchsorted(known[0], shingles), len(known[0]) - 1)
+        texts = np.where(known[0][at] == shingles, known[1][at], 0)
     total = np.zeros(len(shingles) + 1, dtype=_U)
     np.cumsum(mix(shingles + _U(0x51ED270B)), out=total[1:])
     top = shingles >> _U(32)
-    for band, k, agree in bands.of(len(shingles)):
+    for band, k, d in bands.of(len(shingles)):
         edge = np.searchsorted((top * _U(k)) >> _U(32), np.arange(k + 1, dtype=_U))
         full = edge[1:] > edge[:-1]
         key = mix((total[edge[1:]] - total[edge[:-1]]) ^ mix(np.arange(k, dtype=_U) + (_U(band + 1) << _U(32))))
-        out.append(key if k - full.sum() >= agree else key[full])
+        if full.sum() > d:
+            key, size, rarest = key[full], (edge[1:] - edge[:-1])[full], np.minimum.reduceat(texts, edge[:-1][full])
+            key = key[np.lexsort((key, -size, rarest))[:d + 1]]
+        out.append(key)
     return np.concatenate(out) if out else np.zeros(0, dtype=_U)
 
 
@@ -169,14 +220,14 @@ def _screened(members: DataFrame, num: int, den: int) -> DataFrame:
     return members.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "rep bigint, tile bigint")
 
 
-def _sets_frame(documents: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _sets_frame(documents: DataFrame, n: int, num: int, den: int, known: Popular = NONE_POPULAR) -> DataFrame:
     def run(batches):
         bands = Bands(num, den)
         for b in batches:
             for lo in range(0, b.num_rows, 250):
                 part = b.slice(lo, 250)
                 sets = sets_of(part.column("text"), n)
-                keys = [parts(s, bands) for s in sets]
+                keys = [parts(s, bands, known) for s in sets]
                 off = np.cumsum([0] + [len(k) for k in keys])
                 flat = np.concatenate(keys) if keys else np.zeros(0, dtype=_U)
                 yield pa.RecordBatch.from_arrays([
@@ -376,7 +427,7 @@ def text_classes(documents: DataFrame, n: int = SHINGLE, num: int = NUM, den: in
 def _linked(documents: DataFrame, n: int, num: int, den: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
     """The rows (doc_id, n, digest; row if given), and (digest, class, low, links) of every set; ``by_id``: sets of one doc_id are in one class."""
     small_batches(documents.sparkSession)
-    full, drop_keys = kept_until(_sets_frame(documents, n, num, den).withColumn("uid", F.monotonically_increasing_id()), "jaccard-sets")
+    full, drop_keys = kept_until(_sets_frame(documents, n, num, den, popular(documents, n)).withColumn("uid", F.monotonically_increasing_id()), "jaccard-sets")
     rows = written(full.drop("keys", "bitmap"), "jaccard-rows")
     some = rows.where("n > 0 and doc_id is not null")
     # rep: the set's node, the number of one of its rows, as an id may hold several sets; doc: that row's id, to find the text again
