@@ -384,13 +384,16 @@ def tiles_of(members: DataFrame, num: int, den: int) -> DataFrame:
 
     A block holds members of one family and one band of sizes, chosen by hash;
     their number follows from pre-aggregated sums, so no task sees a family.
+    Placed members and blocks are written, as several joins read them: else
+    one plan repeats all that leads to them for each of those joins.
     """
     weight = F.greatest(F.col("n"), F.lit(BLOCK_SHINGLES // BLOCK_MEMBERS))
     band = F.floor(F.log("n") / math.log(TILE_RATIO))
     banded = members.withColumn("band", band)
     many = banded.groupBy("family", "band").agg(F.ceil(F.sum(weight) / BLOCK_SHINGLES).alias("many"))
     placed = banded.join(many, ["family", "band"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("many"))).drop("many")
-    blocks = placed.groupBy("family", "band", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    placed = written(placed, "jaccard-placed")
+    blocks = written(placed.groupBy("family", "band", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "jaccard-blocks")
     a, b = blocks.alias("a"), blocks.alias("b")
     pairs = (a.join(b, F.col("a.family") == F.col("b.family"))
              .where(F.expr(f"(a.band, a.block) = (b.band, b.block) or (a.band, a.block) < (b.band, b.block) and {den} * a.hi >= {num} * b.lo and {den} * b.hi >= {num} * a.lo"))
@@ -398,11 +401,11 @@ def tiles_of(members: DataFrame, num: int, den: int) -> DataFrame:
     own = F.expr("(a_band, a_block) = (b_band, b_block)")
     tile = F.xxhash64("family", "a_band", "a_block", "b_band", "b_block").alias("tile")
 
-    def side(x: str, k) -> DataFrame:
-        return pairs.select("family", F.col(f"{x}_band").alias("band"), F.col(f"{x}_block").alias("block"), F.struct(tile, k.alias("side")).alias("t"), own.alias("own"))
+    def side(x: str, k):
+        return F.struct(F.col(f"{x}_band").alias("band"), F.col(f"{x}_block").alias("block"), F.struct(tile, k.alias("side")).alias("t"))
 
-    sides = (side("a", F.when(own, 0).otherwise(1)).unionByName(side("b", F.lit(2)).where("not own"))
-             .groupBy("family", "band", "block").agg(F.collect_list("t").alias("tiles")))
+    sides = (pairs.select("family", F.explode(F.when(own, F.array(side("a", F.lit(0)))).otherwise(F.array(side("a", F.lit(1)), side("b", F.lit(2))))).alias("s"))
+             .groupBy("family", "s.band", "s.block").agg(F.collect_list("s.t").alias("tiles")))
     return placed.join(sides, ["family", "band", "block"]).select("rep", "tiles")
 
 
@@ -446,6 +449,7 @@ def _linked(documents: DataFrame, n: int, num: int, den: int, by_id: bool) -> tu
     several = families.groupBy("component").agg(F.count("*").alias("sets")).where("sets > 1").select("component")
     members = (families.join(several, "component").select(F.col("node").alias("rep"), F.col("component").alias("family"))
                .join(reps.withColumnRenamed("at", "doc"), "rep"))
+    members = written(members, "jaccard-members")
     wanted = written(members.select("rep", "doc", "mult", "digest").join(tiles_of(members.select("family", "rep", "n"), num, den), "rep"), "jaccard-tiles")
     bitmaps = full.select(F.col("uid").alias("rep"), "n", "bitmap")
     meet = wanted.join(bitmaps, "rep").select("rep", "n", "bitmap", F.explode("tiles").alias("t")).select("t.tile", "t.side", "rep", "n", "bitmap")
